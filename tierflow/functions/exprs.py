@@ -65,3 +65,18 @@ def as_of_column(as_of) -> Column:
 
 
 Check = Callable[[], Column]
+
+
+def exact_mean(total: Column, n: Column, scale: int = 4) -> Column:
+    """``total / n`` rounded half toward +infinity to ``scale`` places, computed
+    in exact integer arithmetic (``total`` is an exact decimal sum with at most
+    ``scale`` places, ``n`` a positive count).  No binary floating point, so
+    the result never depends on summation order or on how a half is rounded."""
+    unit = 10 ** scale
+    s = (total * F.lit(unit)).cast("decimal(38,0)")
+    num = s * F.lit(2) + n.cast("decimal(38,0)")
+    den = (n * F.lit(2)).cast("decimal(38,0)")
+    q = ((num - F.pmod(num, den)) / den).cast("decimal(38,0)")
+    # q is exact; shifting the decimal point back is exact too
+    mean = q.cast(f"decimal(38,{scale})") / F.lit(unit).cast("decimal(38,0)")
+    return F.when(n > 0, mean.cast(f"decimal(20,{scale})"))

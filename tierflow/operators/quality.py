@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierflow.functions.exprs import passes, rule_columns
+from tierflow.functions.exprs import exact_mean, passes, rule_columns
 
 
 class ExpectationError(RuntimeError):
@@ -97,15 +97,17 @@ def drift(df: DataFrame, by: Sequence[str] = ("exchange",), ts: str = "timestamp
     if dict(df.dtypes).get(ts) == "timestamp_ntz":
         bucket = bucket.cast("timestamp_ntz")
     v = F.col(value)
-    # an exact (order-independent) sum for decimals, converted once
-    total = F.sum(v).cast("double") if dict(df.dtypes).get(value, "").startswith("decimal") else F.sum(v.cast("double"))
+    is_dec = dict(df.dtypes).get(value, "").startswith("decimal")
+    # decimals: exact, order-independent sum and exact mean; else double
+    total = F.sum(v) if is_dec else F.sum(v.cast("double"))
     agg = df.groupBy(*by, bucket.alias("bucket")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(v).alias("_nn"),
         total.alias("_sum"),
         F.stddev_samp(v.cast("double")).alias("_sd"),
     )
-    mean = F.round(F.col("_sum") / F.nullif(F.col("_nn"), F.lit(0)), 4).cast("decimal(20,4)")
+    mean = (exact_mean(F.col("_sum"), F.col("_nn"), 4) if is_dec else
+            F.round(F.col("_sum") / F.nullif(F.col("_nn"), F.lit(0)), 4).cast("decimal(20,4)"))
     w = Window.partitionBy(*by).orderBy("bucket")
     per = agg.select(*by, "bucket", "rows",
                      _ratio(F.col("rows") - F.col("_nn"), F.col("rows")).alias("null_rate"),

@@ -94,10 +94,11 @@ def drift() -> str:
         "lag(mean_value) OVER (PARTITION BY exchange ORDER BY bucket) AS prev_mean_value, "
         "CAST(mean_value - lag(mean_value) OVER (PARTITION BY exchange ORDER BY bucket) AS DECIMAL(20,4)) AS mean_change "
         "FROM (SELECT exchange, bucket, rows, CAST(rows - nn AS DOUBLE) / NULLIF(rows, 0) AS null_rate, "
-        "CAST(round(s / NULLIF(nn, 0), 4) AS DECIMAL(20,4)) AS mean_value, "
+        "CASE WHEN nn > 0 THEN CAST(CAST((num - (((num % den) + den) % den)) // den AS DECIMAL(38,0)) / 10000 AS DECIMAL(20,4)) END AS mean_value, "
         "CAST(round(sd, 4) AS DECIMAL(20,4)) AS stddev_value "
         "FROM (SELECT exchange, date_trunc('month', timestamp) AS bucket, count(*) AS rows, count(price) AS nn, "
-        "CAST(sum(price) AS DOUBLE) AS s, stddev_samp(CAST(price AS DOUBLE)) AS sd "
+        "CAST(sum(price) * 10000 AS HUGEINT) * 2 + count(price) AS num, 2 * CAST(count(price) AS HUGEINT) AS den, "
+        "stddev_samp(CAST(price AS DOUBLE)) AS sd "
         "FROM trades GROUP BY exchange, date_trunc('month', timestamp)) a) p")
 
 

@@ -1,4 +1,169 @@
-"""Plans that run the streaming pipeline end to end (filled in below)."""
+"""Plans that run the pipeline end to end on data derived from ``lineitem``.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLES: dict = {}
+The adapter's trades are exported as landing CSV files (one folder per
+exchange, several files each) and one full update runs: listing streams ->
+bronze -> silver (fail-on-violation) -> gold -> monitoring.  NASDAQ files
+carry an extra ``venue`` column and LSE files have their columns in reverse
+order, so header drift, by-name projection and rescue are exercised.  One
+update per (application, data folder) is shared by the plans below.
+"""
+
+from __future__ import annotations
+
+import threading
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tierflow.config import default_sources
+from tierflow.operators import rollups
+from tierflow.operators.transforms import union_tier
+from tierflow.plans.oracle import TRADE_COLS
+from tierflow.plans.pipeline import run_update
+from tierflow.plans.queries import ADAPTER_TYPES, DEC, EXCHANGES
+from tierflow.session import work_dir
+from tierflow.sinks.tables import TableStore, compact_table
+from tierflow.sources.adapter import AS_OF_SPARK, AS_OF_SQL, read_table, trades, trades_sql
+from tierflow.sources.generator import write_landing
+from tierflow.sources.landing import landing_files
+from tierflow.streaming.windows import run_windows, windowed_counts
+
+FILES_PER_EXCHANGE = 4
+FILES_PER_TRIGGER = 2
+_RUNS: dict = {}
+_LOCK = threading.Lock()
+TRADE_LIST = [c.strip() for c in TRADE_COLS.split(",")]
+SILVER_OUT = TRADE_LIST + ["ingestion_timestamp", "file_path", "_rescued_data", "processing_timestamp"]
+
+
+def landing_frame(spark: SparkSession, sf_dir: str, exchange: str) -> DataFrame:
+    t = trades(spark, sf_dir, clean=True).filter(F.col("exchange") == exchange)
+    df = t.select(*TRADE_LIST, F.col("timestamp").alias("ingestion_timestamp"), F.col("source_file").alias("file_path"))
+    if exchange == "NASDAQ":
+        df = df.withColumn("venue", F.col("market_center"))
+    if exchange == "LSE":
+        df = df.select(*reversed(df.columns))
+    return df.repartition(FILES_PER_EXCHANGE)
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _LOCK:
+        if key in _RUNS:
+            return _RUNS[key]
+        root = work_dir(spark, "pipeline")
+        landing, state, tables = f"{root}/landing", f"{root}/state", f"{root}/tables"
+        for ex in EXCHANGES:
+            write_landing(landing_frame(spark, sf_dir, ex), landing, ex, "trades", "00000000_000000")
+        configs = default_sources(landing, state, declared_types=ADAPTER_TYPES,
+                                  max_files_per_trigger=FILES_PER_TRIGGER)
+        store = TableStore(spark, tables)
+        result = run_update(spark, configs, store, as_of=AS_OF_SPARK)
+        _RUNS[key] = (store, configs, result, landing)
+        return _RUNS[key]
+
+
+def _tier(spark, sf_dir, attr):
+    store, configs, _, _ = pipeline_run(spark, sf_dir)
+    return union_tier([store.read(getattr(c, attr)) for c in configs])
+
+
+def q_stream_bronze(spark, sf_dir):
+    return _tier(spark, sf_dir, "raw_table").select(*TRADE_LIST, "ingestion_timestamp", "file_path", "_rescued_data")
+
+
+def q_stream_silver(spark, sf_dir):
+    return _tier(spark, sf_dir, "clean_table").select(*SILVER_OUT)
+
+
+def q_stream_gold(spark, sf_dir):
+    g = _tier(spark, sf_dir, "transform_table")
+    return g.select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"))
+
+
+def q_stream_quality_monitoring(spark, sf_dir):
+    store, _, _, _ = pipeline_run(spark, sf_dir)
+    m = store.read("quality_changes_monitoring")
+    return m.select(*SILVER_OUT, "quality_check_timestamp", "quality_layer", "change_detected", "processing_method")
+
+
+def q_stream_schema_changes(spark, sf_dir):
+    store, configs, _, _ = pipeline_run(spark, sf_dir)
+    bronze = union_tier([store.read_append(c.raw_table) for c in configs])
+    return rollups.schema_changes(bronze, by=["exchange"]).select("exchange", "column_name", "rows")
+
+
+def q_stream_quality_metrics(spark, sf_dir):
+    store, configs, _, _ = pipeline_run(spark, sf_dir)
+    m = union_tier([store.read_append(f"_quality_metrics/{c.name}") for c in configs])
+    return m.groupBy("source", "rule").agg(F.sum("rows_in").alias("rows_in"),
+                                           F.sum("rows_selected").alias("rows_selected"),
+                                           F.sum("violations").alias("violations"))
+
+
+def q_stream_compact(spark, sf_dir):
+    store, configs, _, _ = pipeline_run(spark, sf_dir)
+    name = configs[0].transform_table
+    compact_table(store, name, target_bytes=1 << 20)
+    return store.read(name).select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"))
+
+
+def q_stream_landing_files(spark, sf_dir):
+    _, _, _, landing = pipeline_run(spark, sf_dir)
+    return landing_files(spark, landing)
+
+
+def q_stream_time_windows(spark, sf_dir):
+    root = work_dir(spark, "windows")
+    # a file stream watches a folder; the glob filter picks the events table
+    stream = (spark.readStream.schema(read_table(spark, sf_dir, "events").schema)
+              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    store = TableStore(spark, f"{root}/tables")
+    agg = windowed_counts(stream, "ts", "1 hour", by=["event_type"], value="value", watermark="2 hours")
+    run_windows(agg, store, "event_windows", f"{root}/state/event_windows", mode="complete").awaitTermination()
+    out = store.read("event_windows")
+    return out.withColumn("sum_value", F.col("sum_value").cast("decimal(38,2)"))
+
+
+STREAM_QUERIES = {
+    "stream_bronze": q_stream_bronze,
+    "stream_silver": q_stream_silver,
+    "stream_gold": q_stream_gold,
+    "stream_quality_monitoring": q_stream_quality_monitoring,
+    "stream_schema_changes": q_stream_schema_changes,
+    "stream_quality_metrics": q_stream_quality_metrics,
+    "stream_compact": q_stream_compact,
+    "stream_landing_files": q_stream_landing_files,
+    "stream_time_windows": q_stream_time_windows,
+}
+
+_RESCUE_SQL = "CASE WHEN exchange = 'NASDAQ' THEN '{\"venue\":\"' || market_center || '\"}' END"
+_SILVER_SQL = (f"SELECT {TRADE_COLS}, timestamp AS ingestion_timestamp, source_file AS file_path, "
+               f"{_RESCUE_SQL} AS _rescued_data, {AS_OF_SQL} AS processing_timestamp FROM trades "
+               "WHERE price > 0 AND quantity > 0")
+
+
+def _w(body):
+    return f"WITH trades AS ({trades_sql(True)})\n{body}"
+
+
+STREAM_ORACLES = {
+    "stream_bronze": _w("SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in TRADE_LIST)
+                        + ", CAST(timestamp AS VARCHAR) AS ingestion_timestamp, source_file AS file_path, "
+                        f"{_RESCUE_SQL} AS _rescued_data FROM trades"),
+    "stream_silver": _w(_SILVER_SQL),
+    "stream_gold": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s"),
+    "stream_quality_monitoring": _w(f"SELECT *, {AS_OF_SQL} AS quality_check_timestamp, 'silver' AS quality_layer, "
+                                    f"true AS change_detected, 'streaming' AS processing_method FROM ({_SILVER_SQL}) s"),
+    "stream_schema_changes": _w("SELECT exchange, 'venue' AS column_name, count(*) AS rows FROM trades "
+                                "WHERE exchange = 'NASDAQ' GROUP BY exchange"),
+    "stream_quality_metrics": _w("SELECT lower(exchange) || '_trades' AS source, 'valid_trade' AS rule, "
+                                 "CAST(count(*) AS BIGINT) AS rows_in, CAST(count(*) AS BIGINT) AS rows_selected, "
+                                 "CAST(0 AS BIGINT) AS violations FROM trades GROUP BY exchange"),
+    "stream_compact": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s "
+                         "WHERE exchange = 'NYSE'"),
+    "stream_time_windows": ("SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR "
+                            "AS window_end, event_type, count(*) AS events, "
+                            "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_value "
+                            "FROM events GROUP BY date_trunc('hour', ts), event_type"),
+}
