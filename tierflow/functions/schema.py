@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # Column order of the landing CSV and the intended type of each column.
@@ -30,37 +29,46 @@ def string_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def _existing_rescued(df: DataFrame, rescued_col: str) -> Column:
-    if rescued_col in df.columns:
-        return F.coalesce(F.from_json(F.col(rescued_col), "map<string,string>"),
-                          F.create_map().cast("map<string,string>"))
-    return F.create_map().cast("map<string,string>")
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def merge_json_sql(old: str, new: str) -> str:
+    """SQL text concatenating two JSON object strings (either may be NULL);
+    keys are disjoint by construction (rescued extras vs. declared columns)."""
+    return (f"CASE WHEN {old} IS NULL OR trim({old}) = '{{}}' THEN {new} WHEN {new} IS NULL THEN {old} "
+            f"ELSE concat(regexp_replace({old}, '\\\\}}\\\\s*$', ''), ',', "
+            f"regexp_replace({new}, '^\\\\s*\\\\{{', '')) END")
 
 
 def conform(df: DataFrame, types: Mapping[str, str] | None = None, rescued_col: str = RESCUED) -> DataFrame:
     """Cast each declared column with ``try_cast`` (never an implicit cast).
 
     Text that does not fit its declared type becomes NULL in the typed column
-    and is kept verbatim in the rescued JSON column, merged with whatever
-    was already rescued at ingest.  Column order is preserved; undeclared
-    columns stay as they are."""
+    and is kept verbatim in the rescued JSON column, merged with whatever was
+    already rescued at ingest.  Column order is preserved; undeclared columns
+    stay as they are.  Only plain expressions are used (no lambdas), so the
+    projection stays inside whole-stage code generation, and the JSON is
+    built only for rows that actually have a value that does not fit."""
     types = dict(types or TRADE_TYPES_DECLARED)
     present = [c for c in df.columns if c in types and types[c] != "string"]
     if not present:
         return df
-    typed = {c: F.expr(f"try_cast(`{c}` AS {types[c]})") for c in present}
-    bad_entries = []
-    for c in present:
-        orig = F.col(c).cast("string")
-        bad_entries += [F.lit(c), F.when(orig.isNotNull() & typed[c].isNull(), orig)]
-    new_bad = F.map_filter(F.create_map(*bad_entries), lambda k, v: v.isNotNull())
-    old = _existing_rescued(df, rescued_col)
-    old_kept = F.map_filter(old, lambda k, v: ~F.array_contains(F.map_keys(new_bad), k))
-    merged = F.map_concat(old_kept, new_bad)
-    rescued = F.when(F.size(merged) > 0, F.to_json(merged))
-    cols = [typed[c].alias(c) if c in typed else F.col(c) for c in df.columns if c != rescued_col]
-    out = df.select(*cols, rescued.alias(rescued_col))
-    # keep the rescued column where it was
-    if rescued_col in df.columns:
-        out = out.select(*df.columns)
-    return out
+    typed = {c: f"try_cast({_q(c)} AS {types[c]})" for c in present}
+    bad = {c: f"({_q(c)} IS NOT NULL AND {typed[c]} IS NULL)" for c in present}
+    any_bad = " OR ".join(bad.values())
+    fields = ", ".join(f"CASE WHEN {bad[c]} THEN cast({_q(c)} AS string) END AS {_q(c)}" for c in present)
+    new_json = f"CASE WHEN {any_bad} THEN to_json(struct({fields})) END"
+    old = _q(rescued_col) if rescued_col in df.columns else "cast(NULL AS string)"
+    rescued = f"{merge_json_sql(old, f'({new_json})')} AS {_q(rescued_col)}"
+    exprs = []
+    for c in df.columns:
+        if c == rescued_col:
+            exprs.append(rescued)
+        elif c in typed:
+            exprs.append(f"{typed[c]} AS {_q(c)}")
+        else:
+            exprs.append(_q(c))
+    if rescued_col not in df.columns:
+        exprs.append(rescued)
+    return df.selectExpr(*exprs)

@@ -25,9 +25,11 @@ def expect_all_or_fail(df: DataFrame, rules: Mapping[str, object], label: str =
     violating row aborts the job that evaluates the DataFrame with an error
     naming the failed rules, so a write that consumes it commits nothing.  No
     extra scan, no shuffle, nothing collected."""
-    checks = rule_columns(rules)
-    if not checks:
+    if not rules:
         return df
+    if all(isinstance(r, str) for r in rules.values()):
+        return df.filter(_fail_filter_sql(rules, label))
+    checks = rule_columns(rules)
     all_ok = checks[0][1]
     for _, ok in checks[1:]:
         all_ok = all_ok & ok
@@ -37,6 +39,19 @@ def expect_all_or_fail(df: DataFrame, rules: Mapping[str, object], label: str =
     return df.filter(F.when(all_ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
 
 
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _fail_filter_sql(rules: Mapping[str, str], label: str) -> str:
+    """The same check as one SQL predicate (parsed once by Spark)."""
+    oks = {name: f"coalesce(({rule}), false)" for name, rule in rules.items()}
+    failed = ", ".join(f"CASE WHEN NOT {ok} THEN {_sql_str(name)} END" for name, ok in oks.items())
+    msg = (f"concat({_sql_str('EXPECTATION_FAILED ' + label + ': rules [')}, concat_ws(', ', {failed}), "
+           f"'] violated by row ', to_json(struct(*)))")
+    return f"CASE WHEN {' AND '.join(oks.values())} THEN true ELSE cast(raise_error({msg}) AS boolean) END"
+
+
 def violation_counts(df: DataFrame, rules: Mapping[str, object]) -> dict[str, int]:
     """Eager form: one aggregate pass counting violations of every rule."""
     checks = rule_columns(rules)

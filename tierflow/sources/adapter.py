@@ -9,8 +9,7 @@ branches for fail-on-violation tiers.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 TRADE_COLUMNS = ["trade_id", "symbol", "exchange", "price", "quantity", "timestamp",
                  "trade_type", "market_center", "source_file"]
@@ -21,38 +20,47 @@ AS_OF_SPARK = f"TIMESTAMP_NTZ '{AS_OF_TEXT}'"
 AS_OF_SQL = f"TIMESTAMP '{AS_OF_TEXT}'"
 
 
-def _case(col: Column, mapping: list[tuple[int, str]], default: str) -> Column:
-    out = None
-    for k, v in mapping:
-        out = F.when(col == k, v) if out is None else out.when(col == k, v)
-    return out.otherwise(default)
+def _price_expr(clean: bool, string_type: str) -> str:
+    base = "cast(l_extendedprice AS decimal(10,4))"
+    if clean:
+        return base
+    return ("CASE WHEN l_orderkey % 97 = 0 THEN cast(-l_extendedprice AS decimal(10,4)) "
+            f"WHEN l_orderkey % 89 = 0 THEN NULL ELSE {base} END")
+
+
+def _trade_exprs(clean: bool, s: str = "string") -> list[str]:
+    """The adapter's column expressions; ``s`` is the text type name of the
+    SQL dialect (Spark ``string``, ANSI ``varchar``)."""
+    return [
+        f"concat('TRD_', cast(l_orderkey AS {s}), '_', cast(l_linenumber AS {s})) AS trade_id",
+        f"concat('SYM_', cast(l_partkey % 10 AS {s})) AS symbol",
+        "CASE l_linenumber % 3 WHEN 0 THEN 'NYSE' WHEN 1 THEN 'NASDAQ' ELSE 'LSE' END AS exchange",
+        f"{_price_expr(clean, s)} AS price",
+        "cast(l_quantity AS bigint) AS quantity",
+        "l_shipdate AS timestamp",
+        "CASE l_suppkey % 4 WHEN 0 THEN 'BUY' WHEN 1 THEN 'SELL' WHEN 2 THEN 'SHORT' ELSE 'COVER' END AS trade_type",
+        "CASE l_partkey % 6 WHEN 0 THEN 'MAIN' WHEN 1 THEN 'ARCA' WHEN 2 THEN 'EDGX' "
+        "WHEN 3 THEN 'EDGA' WHEN 4 THEN 'BATS' ELSE 'IEX' END AS market_center",
+        f"concat('part_', cast(l_orderkey % 8 AS {s}), '.csv') AS source_file",
+    ]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one task per core.  A Parquet file with a single
+    row group is read by one task however many splits it gets; a round-robin
+    spread lets the (CPU-bound) projections downstream run on every core.  A
+    large input already has more splits than cores and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def trades(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """Typed trades: one row per lineitem row."""
-    li = read_table(spark, sf_dir, "lineitem")
-    price = F.col("l_extendedprice").cast("decimal(10,4)")
-    if not clean:
-        price = (F.when(F.col("l_orderkey") % 97 == 0, (-F.col("l_extendedprice")).cast("decimal(10,4)"))
-                 .when(F.col("l_orderkey") % 89 == 0, F.lit(None).cast("decimal(10,4)"))
-                 .otherwise(price))
-    return li.select(
-        F.concat(F.lit("TRD_"), F.col("l_orderkey").cast("string"), F.lit("_"),
-                 F.col("l_linenumber").cast("string")).alias("trade_id"),
-        F.concat(F.lit("SYM_"), (F.col("l_partkey") % 10).cast("string")).alias("symbol"),
-        _case(F.col("l_linenumber") % 3, [(0, "NYSE"), (1, "NASDAQ")], "LSE").alias("exchange"),
-        price.alias("price"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_shipdate").alias("timestamp"),
-        _case(F.col("l_suppkey") % 4, [(0, "BUY"), (1, "SELL"), (2, "SHORT")], "COVER").alias("trade_type"),
-        _case(F.col("l_partkey") % 6, [(0, "MAIN"), (1, "ARCA"), (2, "EDGX"), (3, "EDGA"), (4, "BATS")],
-              "IEX").alias("market_center"),
-        F.concat(F.lit("part_"), (F.col("l_orderkey") % 8).cast("string"), F.lit(".csv")).alias("source_file"),
-    )
+    return read_table(spark, sf_dir, "lineitem").selectExpr(*_trade_exprs(clean))
 
 
 def bronze_trades(spark: SparkSession, sf_dir: str, exchange: str | None = None, clean: bool = False) -> DataFrame:
@@ -61,30 +69,14 @@ def bronze_trades(spark: SparkSession, sf_dir: str, exchange: str | None = None,
     One landing directory per exchange, as the generator lays files out."""
     t = trades(spark, sf_dir, clean)
     if exchange is not None:
-        t = t.filter(F.col("exchange") == exchange)
-    return t.select(
-        *[F.col(c).cast("string").alias(c) for c in TRADE_COLUMNS if c != "source_file"],
-        F.col("timestamp").cast("string").alias("ingestion_timestamp"),
-        F.lit(None).cast("string").alias("_rescued_data"),
-        F.col("source_file"),
-    )
+        t = t.filter(f"exchange = '{exchange}'")
+    return t.selectExpr(*[f"cast(`{c}` AS string) AS `{c}`" for c in TRADE_COLUMNS if c != "source_file"],
+                        "cast(timestamp AS string) AS ingestion_timestamp",
+                        "cast(NULL AS string) AS _rescued_data", "source_file")
 
 
 def trades_sql(clean: bool = False) -> str:
-    price = ("cast(l_extendedprice AS decimal(10,4))" if clean else
-             "CASE WHEN l_orderkey % 97 = 0 THEN cast(-l_extendedprice AS decimal(10,4)) "
-             "WHEN l_orderkey % 89 = 0 THEN NULL ELSE cast(l_extendedprice AS decimal(10,4)) END")
-    return f"""SELECT concat('TRD_', cast(l_orderkey AS varchar), '_', cast(l_linenumber AS varchar)) AS trade_id,
-  concat('SYM_', cast(l_partkey % 10 AS varchar)) AS symbol,
-  CASE l_linenumber % 3 WHEN 0 THEN 'NYSE' WHEN 1 THEN 'NASDAQ' ELSE 'LSE' END AS exchange,
-  {price} AS price,
-  cast(l_quantity AS bigint) AS quantity,
-  l_shipdate AS timestamp,
-  CASE l_suppkey % 4 WHEN 0 THEN 'BUY' WHEN 1 THEN 'SELL' WHEN 2 THEN 'SHORT' ELSE 'COVER' END AS trade_type,
-  CASE l_partkey % 6 WHEN 0 THEN 'MAIN' WHEN 1 THEN 'ARCA' WHEN 2 THEN 'EDGX'
-                     WHEN 3 THEN 'EDGA' WHEN 4 THEN 'BATS' ELSE 'IEX' END AS market_center,
-  concat('part_', cast(l_orderkey % 8 AS varchar), '.csv') AS source_file
-FROM lineitem"""
+    return "SELECT " + ",\n  ".join(_trade_exprs(clean, "varchar")) + "\nFROM lineitem"
 
 
 def bronze_sql(exchange: str, clean: bool = False, trades_cte: str = "trades") -> str:
