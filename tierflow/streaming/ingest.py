@@ -127,7 +127,7 @@ def start_silver(spark: SparkSession, cfg: SourceConfig, store: TableStore, as_o
                  available_now: bool = True) -> StreamingQuery | None:
     if store.stored_schema(cfg.raw_table) is None:
         return None  # nothing landed yet
-    src = store.stream_append(cfg.raw_table, cfg.max_files_per_trigger)
+    src = store.stream_append(cfg.raw_table, cfg.tier_max_files_per_trigger)
     w = (src.writeStream.queryName(f"silver_{cfg.name}")
          .option("checkpointLocation", f"{cfg.checkpoint_path.rstrip('/')}/silver")
          .foreachBatch(silver_batch_writer(spark, cfg, store, as_of)))
