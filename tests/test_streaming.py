@@ -142,3 +142,32 @@ def test_landing_files(spark, tmp):
     write(f"{tmp}/landing/lse/bronze/c.csv", "x\n2\n")
     got = {r.source: r.files for r in landing_files(spark, f"{tmp}/landing").collect()}
     assert got == {"nyse": 1, "lse": 2}
+
+
+def test_row_wise_detection(spark):
+    from tierflow.config import PRICE_BUCKET_SQL
+    from tierflow.operators.transforms import is_row_wise
+    df = spark.createDataFrame([("NYSE", 1.0, 2)], "exchange string, price double, quantity long")
+    assert is_row_wise(spark, df, TRADE_VALUE_SQL, "silver_x")
+    assert is_row_wise(spark, df, PRICE_BUCKET_SQL, "silver_x")
+    assert not is_row_wise(spark, df, "SELECT exchange, sum(price) AS s FROM __TABLE__ GROUP BY exchange", "silver_x")
+    assert not is_row_wise(spark, df, "SELECT *, rank() OVER (ORDER BY price) AS r FROM __TABLE__", "silver_x")
+    assert not is_row_wise(spark, df, "SELECT DISTINCT exchange FROM __TABLE__", "silver_x")
+
+
+def test_incremental_gold_equals_full(spark, tmp):
+    land = f"{tmp}/landing/nyse/bronze"
+    write(f"{land}/a.csv", HEADER + "\nT1,AAPL,NYSE,2,3,2024-01-01 10:00:00,BUY,MAIN\n")
+    inc = cfg_for(tmp, gold_mode="auto", max_files_per_trigger=1)
+    store = TableStore(spark, f"{tmp}/tables")
+    run_update(spark, [inc], store, as_of=AS_OF)
+    write(f"{land}/b.csv", HEADER + "\nT2,AAPL,NYSE,5,2,2024-01-01 11:00:00,BUY,MAIN\n")
+    run_update(spark, [inc], store, as_of=AS_OF)
+    assert store.meta(inc.transform_table)["kind"] == "append"
+    got = sorted((r.trade_id, str(r.trade_value)) for r in store.read(inc.transform_table).collect())
+    assert got == [("T1", "6.0000"), ("T2", "10.0000")]
+    agg = cfg_for(tmp, gold_mode="auto", transform_table="gold_agg",
+                  business_logic="SELECT exchange, sum(quantity) AS q FROM __TABLE__ GROUP BY exchange")
+    run_update(spark, [agg], store, as_of=AS_OF)
+    assert store.meta("gold_agg")["kind"] == "snapshot"
+    assert store.read("gold_agg").first().q == 5

@@ -41,3 +41,20 @@ def union_tier(tables: Sequence[DataFrame]) -> DataFrame:
     if not tables:
         raise ValueError("union_tier needs at least one table")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+# Physical operators that make a template depend on more than one row at a time.
+NON_ROW_WISE = ("Aggregate", "Exchange", "Window", "Join", "Sort", "Limit", "Expand", "Sample",
+                "CartesianProduct", "TakeOrdered", "Union", "Intersect", "Except", "Deduplicate")
+
+
+def is_row_wise(spark: SparkSession, df: DataFrame, sql: str, view_name: str,
+                placeholder: str = TABLE_PLACEHOLDER) -> bool:
+    """True when the template maps each input row independently (projection /
+    filter / generator only), so applying it per micro-batch and appending
+    gives the same rows as applying it to the whole table.  Decided from the
+    physical plan Spark prints for the template (SQL ``EXPLAIN``)."""
+    df.createOrReplaceTempView(view_name)
+    plan = spark.sql("EXPLAIN " + sql.replace(placeholder, f"`{view_name}`")).first()[0]
+    body = plan.split("== Physical Plan ==")[-1]
+    return not any(op in body for op in NON_ROW_WISE)

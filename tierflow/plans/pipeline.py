@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.config import SourceConfig
 from tierflow.operators import monitoring
-from tierflow.operators.transforms import apply_sql_template
+from tierflow.operators.transforms import apply_sql_template, is_row_wise
 from tierflow.sinks.tables import TableStore
 from tierflow.streaming import ingest
 from tierflow.streaming.metrics import progress_frame, progress_rows
@@ -55,6 +55,15 @@ def _drain(queries) -> list:
     return rows
 
 
+def gold_is_incremental(spark: SparkSession, cfg: SourceConfig, store: TableStore) -> bool:
+    if cfg.gold_mode == "full":
+        return False
+    row_wise = is_row_wise(spark, store.read(cfg.clean_table), cfg.business_logic, cfg.clean_table)
+    if cfg.gold_mode == "incremental" and not row_wise:
+        raise ValueError(f"{cfg.transform_table}: template is not row-wise; use gold_mode='full'")
+    return row_wise
+
+
 def refresh_gold(spark: SparkSession, cfg: SourceConfig, store: TableStore) -> int:
     silver = store.read(cfg.clean_table)
     gold = apply_sql_template(spark, silver, cfg.business_logic, cfg.clean_table)
@@ -96,11 +105,15 @@ def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: Tabl
     for cfg in chosen:
         silver_q.append(ingest.start_silver(spark, cfg, store, as_of))
     res.progress += _drain(silver_q)
+    full, incremental = [], []
     for cfg in chosen:
         if store.exists(cfg.clean_table):
             store.set_meta(cfg.clean_table, comment=f"Cleaned data for {cfg.name}",
                            properties=dict(cfg.table_properties))
-            res.gold_versions[cfg.transform_table] = refresh_gold(spark, cfg, store)
+            (incremental if gold_is_incremental(spark, cfg, store) else full).append(cfg)
+    res.progress += _drain([ingest.start_gold(spark, c, store) for c in incremental])
+    for cfg in full:
+        res.gold_versions[cfg.transform_table] = refresh_gold(spark, cfg, store)
     if monitoring_tables:
         res.monitoring_versions = refresh_monitoring(store, configs, as_of)
     return res

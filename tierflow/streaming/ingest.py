@@ -25,6 +25,7 @@ from tierflow.config import SourceConfig
 from tierflow.functions.exprs import as_of_column, passes, rule_columns
 from tierflow.functions.schema import TRADE_TYPES_DECLARED, conform
 from tierflow.operators.quality import expect_all_or_fail
+from tierflow.operators.transforms import apply_sql_template
 from tierflow.sinks import paths
 from tierflow.sinks.tables import TableStore
 from tierflow.sources.landing import LISTING_SCHEMA, read_files, read_headers
@@ -133,3 +134,25 @@ def start_silver(spark: SparkSession, cfg: SourceConfig, store: TableStore, as_o
          .foreachBatch(silver_batch_writer(spark, cfg, store, as_of)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def start_gold(spark: SparkSession, cfg: SourceConfig, store: TableStore,
+               available_now: bool = True) -> StreamingQuery:
+    """Incremental gold for row-wise templates: each new silver batch is run
+    through the template and appended, so an update costs O(new rows)."""
+    kind = store.meta(cfg.transform_table).get("kind")
+    if kind == "snapshot":
+        raise ValueError(f"{cfg.transform_table} was built by full refresh; rebuild it to switch to incremental")
+    view = f"{cfg.clean_table}__batch"
+
+    def write(df, batch_id: int):
+        gold = apply_sql_template(df.sparkSession, df.drop("batch_id"), cfg.business_logic, view)
+        store.append_batch(cfg.transform_table, gold, batch_id, optimize_write=cfg.optimize_write)
+
+    store.set_meta(cfg.transform_table, comment=f"Transformed {cfg.name} data with business logic",
+                   properties=dict(cfg.table_properties))
+    src = store.stream_append(cfg.clean_table, cfg.tier_max_files_per_trigger)
+    w = (src.writeStream.queryName(f"gold_{cfg.name}")
+         .option("checkpointLocation", f"{cfg.checkpoint_path.rstrip('/')}/gold").foreachBatch(write))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
