@@ -21,10 +21,15 @@ def windowed_counts(stream: DataFrame, ts: str, duration: str = "1 hour", by: Se
         aggs.append(F.sum(F.col(value).cast(value_type)).alias(f"sum_{value}"))
     ntz = dict(stream.dtypes).get(ts) == "timestamp_ntz"
     if ntz:
-        # watermarks need TIMESTAMP; convert, then give the bounds back zone-less
-        stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+        # Watermarks need TIMESTAMP.  Map the wall-clock time to the instant
+        # whose UTC reading is that wall clock, so windows align with
+        # wall-clock hours in any session time zone; map the bounds back.
+        stream = stream.withColumn(ts, F.to_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone()))
     g = stream.withWatermark(ts, watermark).groupBy(F.window(ts, duration).alias("w"), *by).agg(*aggs)
-    bound = (lambda c: c.cast("timestamp_ntz")) if ntz else (lambda c: c)
+
+    def bound(c):
+        return F.from_utc_timestamp(c, F.current_timezone()).cast("timestamp_ntz") if ntz else c
+
     return g.select(bound(F.col("w.start")).alias("window_start"), bound(F.col("w.end")).alias("window_end"), *by,
                     *[c for c in g.columns if c not in ("w", *by)])
 
