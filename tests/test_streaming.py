@@ -171,3 +171,25 @@ def test_incremental_gold_equals_full(spark, tmp):
     run_update(spark, [agg], store, as_of=AS_OF)
     assert store.meta("gold_agg")["kind"] == "snapshot"
     assert store.read("gold_agg").first().q == 5
+
+
+def test_replayed_batch_replaces_itself(spark, tmp):
+    """foreachBatch may run a batch twice after a failure; the table must not double."""
+    store = TableStore(spark, f"{tmp}/tables")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, s string")
+    store.append_batch("t", df, 0)
+    store.append_batch("t", df, 0)
+    store.append_batch("t", df.withColumn("extra", F.lit("e")), 1)
+    out = store.read_append("t")
+    assert out.count() == 4
+    assert out.columns == ["x", "s", "extra", "batch_id"]
+    assert out.filter("batch_id = 0 AND extra IS NULL").count() == 2
+
+
+def test_progress_frame(spark, tmp):
+    land = f"{tmp}/landing/nyse/bronze"
+    write(f"{land}/a.csv", HEADER + "\nT1,AAPL,NYSE,2,3,2024-01-01 10:00:00,BUY,MAIN\n")
+    res = run_update(spark, [cfg_for(tmp)], TableStore(spark, f"{tmp}/tables"), as_of=AS_OF)
+    pf = res.progress_frame(spark)
+    got = {r.query: r.input_rows for r in pf.collect()}
+    assert got == {"bronze_nyse_trades": 1, "silver_nyse_trades": 1}

@@ -53,7 +53,12 @@ class TableStore:
         if optimize_write:
             df = df.hint("rebalance")
         df.write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={int(batch_id)}")
-        self.set_meta(name, kind="append", schema=df.schema.json())
+        old = self.stored_schema(name)
+        schema = df.schema
+        if old is not None:  # additive: keep every column ever written, in first-seen order
+            known = set(old.fieldNames())
+            schema = T.StructType(list(old.fields) + [f for f in df.schema.fields if f.name not in known])
+        self.set_meta(name, kind="append", schema=schema.json())
 
     def batches(self, name: str) -> list[int]:
         return sorted(int(d.split("=", 1)[1]) for d in paths.list_dirs(self.path(name)) if d.startswith("batch_id="))
@@ -68,6 +73,10 @@ class TableStore:
             if schema is None:
                 raise FileNotFoundError(f"table {name} has no data and no schema")
             df = self.spark.createDataFrame([], schema).withColumn("batch_id", F.lit(None).cast("int"))
+        elif schema is not None:
+            # the recorded schema: no footer scan, older files read NULL for newer columns
+            full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType(), True)])
+            df = self.spark.read.schema(full).parquet(self.path(name))
         else:
             df = self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
         return df if with_batch_id else df.drop("batch_id")

@@ -65,7 +65,8 @@ def listing_stream(spark: SparkSession, cfg: SourceConfig):
 def bronze_batch_writer(spark: SparkSession, cfg: SourceConfig, store: TableStore):
     def write(files_df, batch_id: int):
         # one micro-batch of file names, bounded by max_files_per_trigger
-        files = [r.path for r in files_df.orderBy("modificationTime", "path").select("path").collect()]
+        listed = files_df.select("path", "modificationTime").collect()
+        files = [r.path for r in sorted(listed, key=lambda r: (r.modificationTime, r.path))]
         if not files:
             return
         headers = read_headers(spark, files)
