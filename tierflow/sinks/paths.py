@@ -1,12 +1,30 @@
-"""Small metadata helpers over any filesystem pyarrow understands (local,
-HDFS, S3, GCS): existence, listing, tiny marker files.  Data never goes
-through here; Spark reads and writes all rows."""
+"""Small metadata helpers: existence, listing, sizes, tiny marker files.
+Data never goes through here; Spark reads and writes all rows.
+
+On the driver the Hadoop FileSystem of the active Spark session is used, so
+every scheme and credential the cluster is configured for works (HDFS, S3A,
+ABFS, GCS connector, local).  Inside Python tasks, where no JVM is reachable,
+pyarrow filesystems are used (local, S3, GCS, HDFS)."""
 
 from __future__ import annotations
 
 from pyarrow import fs as pafs
 
 
+def _hadoop(uri: str):
+    """(FileSystem, Path) through the active session's JVM, or None."""
+    try:
+        from pyspark import SparkContext
+        sc = SparkContext._active_spark_context
+        if sc is None:
+            return None
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(uri)
+        return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
+    except Exception:  # noqa: BLE001 - no JVM here (executor task): use pyarrow
+        return None
+
+
 def _split(uri: str):
     if uri.startswith("file:"):
         path = uri[len("file:"):]
@@ -19,11 +37,20 @@ def _split(uri: str):
 
 
 def exists(uri: str) -> bool:
+    h = _hadoop(uri)
+    if h:
+        return bool(h[0].exists(h[1]))
     f, p = _split(uri)
     return f.get_file_info(p).type != pafs.FileType.NotFound
 
 
 def list_dirs(uri: str) -> list[str]:
+    h = _hadoop(uri)
+    if h:
+        fs, path = h
+        if not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
+            return []
+        return sorted(st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory())
     f, p = _split(uri)
     if f.get_file_info(p).type != pafs.FileType.Directory:
         return []
@@ -33,6 +60,19 @@ def list_dirs(uri: str) -> list[str]:
 
 def total_size(uri: str) -> int:
     """Bytes of visible data files under ``uri`` (hidden ``_``/``.`` names skipped)."""
+    h = _hadoop(uri)
+    if h:
+        fs, path = h
+        if not fs.exists(path):
+            return 0
+        total, it = 0, fs.listFiles(path, True)
+        base = len(fs.makeQualified(path).toUri().getPath())
+        while it.hasNext():
+            st = it.next()
+            rel = st.getPath().toUri().getPath()[base:]
+            if not any(part.startswith(("_", ".")) for part in rel.split("/") if part):
+                total += st.getLen()
+        return total
     f, p = _split(uri)
     if f.get_file_info(p).type == pafs.FileType.NotFound:
         return 0
@@ -42,6 +82,10 @@ def total_size(uri: str) -> int:
 
 
 def write_text(uri: str, text: str) -> None:
+    """Write a small file; readers see the old or the new content, never a part."""
+    h = _hadoop(uri)
+    if h:
+        return _hadoop_write(uri, text)
     f, p = _split(uri)
     parent = p.rsplit("/", 1)[0]
     f.create_dir(parent, recursive=True)
@@ -51,7 +95,32 @@ def write_text(uri: str, text: str) -> None:
     f.move(tmp, p)
 
 
+def _hadoop_write(uri: str, text: str) -> None:
+    fs, path = _hadoop(uri)
+    _, tmp = _hadoop(uri + ".tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(path):
+        fs.delete(path, False)
+    if not fs.rename(tmp, path):
+        raise OSError(f"could not move {tmp} to {path}")
+
+
 def read_text(uri: str) -> str | None:
+    h = _hadoop(uri)
+    if h:
+        fs, path = h
+        if not fs.exists(path):
+            return None
+        inp = fs.open(path)
+        try:
+            data = inp.readAllBytes()
+        finally:
+            inp.close()
+        return bytes(data).decode("utf-8")
     f, p = _split(uri)
     if f.get_file_info(p).type == pafs.FileType.NotFound:
         return None
@@ -66,6 +135,11 @@ def read_head(uri: str, nbytes: int = 65536) -> bytes:
 
 
 def delete_dir(uri: str) -> None:
+    h = _hadoop(uri)
+    if h:
+        if h[0].exists(h[1]):
+            h[0].delete(h[1], True)
+        return
     f, p = _split(uri)
     if f.get_file_info(p).type == pafs.FileType.Directory:
         f.delete_dir(p)

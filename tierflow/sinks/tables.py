@@ -5,9 +5,10 @@
   a retried batch (at-least-once ``foreachBatch``) replaces itself instead of
   duplicating rows; readers see the partition column ``batch_id``.
 * Full-refresh tables (gold, monitoring): every refresh writes a NEW
-  directory ``<table>/version=<n>/`` and then moves the ``_latest`` marker, so
-  readers of the previous version are never disturbed and the change feed can
-  diff two versions.
+  directory ``<table>/version=<n>/``; the current version is the highest one
+  whose write committed (Spark's ``_SUCCESS`` file), so readers of the previous
+  version are never disturbed, a failed refresh is simply skipped, and the
+  change feed can diff two versions.
 Comment and properties are kept in ``<table>/_table.json``.
 """
 
@@ -96,8 +97,10 @@ class TableStore:
         return sorted(int(d.split("=", 1)[1]) for d in paths.list_dirs(self.path(name)) if d.startswith("version="))
 
     def latest_version(self, name: str) -> int | None:
-        text = paths.read_text(f"{self.path(name)}/_latest")
-        return int(text) if text else None
+        for v in reversed(self.versions(name)):
+            if paths.exists(f"{self.path(name)}/version={v}/_SUCCESS"):
+                return v
+        return None
 
     def write_snapshot(self, name: str, df: DataFrame, comment: str | None = None,
                        properties: dict | None = None, optimize_write: bool = False) -> int:
@@ -107,7 +110,6 @@ class TableStore:
         if optimize_write:
             df = df.hint("rebalance")
         df.write.mode("errorifexists").parquet(f"{self.path(name)}/version={version}")
-        paths.write_text(f"{self.path(name)}/_latest", str(version))
         self.set_meta(name, kind="snapshot", schema=df.schema.json(), comment=comment,
                       properties=dict(properties) if properties else None)
         return version
