@@ -1,11 +1,14 @@
 """Plans that run the pipeline end to end on data derived from ``lineitem``.
 
-The adapter's trades are exported as landing CSV files (one folder per
-exchange, several files each) and one full update runs: listing streams ->
-bronze -> silver (fail-on-violation) -> gold -> monitoring.  NASDAQ files
-carry an extra ``venue`` column and LSE files have their columns in reverse
-order, so header drift, by-name projection and rescue are exercised.  One
-update per (application, data folder) is shared by the plans below.
+The adapter's trades arrive as landing CSV files in two drops, as the
+generation job delivers an initial and an incremental batch: trades shipped
+before ``DROP_CUTOFF`` first, the rest later.  Each drop is followed by one
+full update (listing streams -> bronze -> silver (fail-on-violation) -> gold
+-> monitoring), so the second update must pick up only the new files and the
+change feed can be read between two real table versions.  NASDAQ files carry
+an extra ``venue`` column and LSE files have their columns in reverse order,
+so header drift, by-name projection and rescue are exercised.  The run is
+shared by the plans below, once per (application, data folder).
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.config import default_sources
-from tierflow.operators import rollups
+from tierflow.operators import changefeed, rollups
 from tierflow.operators.transforms import union_tier
 from tierflow.plans.oracle import TRADE_COLS
 from tierflow.plans.pipeline import run_update
@@ -29,6 +32,7 @@ from tierflow.sources.landing import landing_files
 from tierflow.streaming.windows import run_windows, windowed_counts
 
 FILES_PER_EXCHANGE = 4
+DROP_CUTOFF = "1996-01-01 00:00:00"
 FILES_PER_TRIGGER = 2
 _RUNS: dict = {}
 _LOCK = threading.Lock()
@@ -36,8 +40,12 @@ TRADE_LIST = [c.strip() for c in TRADE_COLS.split(",")]
 SILVER_OUT = TRADE_LIST + ["ingestion_timestamp", "file_path", "_rescued_data", "processing_timestamp"]
 
 
-def landing_frame(spark: SparkSession, sf_dir: str, exchange: str) -> DataFrame:
+def landing_frame(spark: SparkSession, sf_dir: str, exchange: str, drop: str | None = None) -> DataFrame:
     t = trades(spark, sf_dir, clean=True).filter(F.col("exchange") == exchange)
+    if drop == "initial":
+        t = t.filter(F.col("timestamp") < F.lit(DROP_CUTOFF).cast("timestamp_ntz"))
+    elif drop == "incremental":
+        t = t.filter(F.col("timestamp") >= F.lit(DROP_CUTOFF).cast("timestamp_ntz"))
     df = t.select(*TRADE_LIST, F.col("timestamp").alias("ingestion_timestamp"), F.col("source_file").alias("file_path"))
     if exchange == "NASDAQ":
         df = df.withColumn("venue", F.col("market_center"))
@@ -53,13 +61,15 @@ def pipeline_run(spark: SparkSession, sf_dir: str):
             return _RUNS[key]
         root = work_dir(spark, "pipeline")
         landing, state, tables = f"{root}/landing", f"{root}/state", f"{root}/tables"
-        for ex in EXCHANGES:
-            write_landing(landing_frame(spark, sf_dir, ex), landing, ex, "trades", "00000000_000000")
         configs = default_sources(landing, state, declared_types=ADAPTER_TYPES,
                                   max_files_per_trigger=FILES_PER_TRIGGER)
         store = TableStore(spark, tables)
-        result = run_update(spark, configs, store, as_of=AS_OF_SPARK)
-        _RUNS[key] = (store, configs, result, landing)
+        results = []
+        for drop, prefix in (("initial", "trades"), ("incremental", "incremental")):
+            for ex in EXCHANGES:
+                write_landing(landing_frame(spark, sf_dir, ex, drop), landing, ex, prefix, "00000000_000000")
+            results.append(run_update(spark, configs, store, as_of=AS_OF_SPARK))
+        _RUNS[key] = (store, configs, results, landing)
         return _RUNS[key]
 
 
@@ -108,6 +118,25 @@ def q_stream_compact(spark, sf_dir):
     return store.read(name).select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"))
 
 
+def q_stream_change_feed(spark, sf_dir):
+    """Rows that changed in gold_nyse_trades between the two updates."""
+    store, configs, results, _ = pipeline_run(spark, sf_dir)
+    name = configs[0].transform_table
+    v1, v2 = (r.gold_versions[name] for r in results)
+    feed = changefeed.change_feed(store.read_version(name, v1), store.read_version(name, v2), to_version=v2)
+    return feed.select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"), "_change_type",
+                       "_commit_version")
+
+
+def q_stream_append_changes(spark, sf_dir):
+    """Rows appended to silver_nyse_trades by the second update."""
+    store, configs, _, _ = pipeline_run(spark, sf_dir)
+    name = configs[0].clean_table
+    batches = store.batches(name)
+    feed = changefeed.append_changes(store.read_append(name), batches[0], batches[-1])
+    return feed.select(*SILVER_OUT, "_change_type", "_commit_version")
+
+
 def q_stream_landing_files(spark, sf_dir):
     _, _, _, landing = pipeline_run(spark, sf_dir)
     return landing_files(spark, landing)
@@ -134,6 +163,8 @@ STREAM_QUERIES = {
     "stream_quality_metrics": q_stream_quality_metrics,
     "stream_compact": q_stream_compact,
     "stream_landing_files": q_stream_landing_files,
+    "stream_change_feed": q_stream_change_feed,
+    "stream_append_changes": q_stream_append_changes,
     "stream_time_windows": q_stream_time_windows,
 }
 
@@ -162,6 +193,11 @@ STREAM_ORACLES = {
                                  "CAST(0 AS BIGINT) AS violations FROM trades GROUP BY exchange"),
     "stream_compact": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s "
                          "WHERE exchange = 'NYSE'"),
+    "stream_change_feed": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value, "
+                             "'insert' AS _change_type, 2 AS _commit_version "
+                             f"FROM ({_SILVER_SQL}) s WHERE exchange = 'NYSE' AND timestamp >= TIMESTAMP '{DROP_CUTOFF}'"),
+    "stream_append_changes": _w("SELECT *, 'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version "
+                                f"FROM ({_SILVER_SQL}) s WHERE exchange = 'NYSE' AND timestamp >= TIMESTAMP '{DROP_CUTOFF}'"),
     "stream_time_windows": ("SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR "
                             "AS window_end, event_type, count(*) AS events, "
                             "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_value "
