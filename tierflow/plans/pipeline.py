@@ -15,7 +15,7 @@ from tierflow.config import SourceConfig
 from tierflow.operators import monitoring
 from tierflow.operators.transforms import apply_sql_template, is_row_wise
 from tierflow.sinks.tables import TableStore
-from tierflow.streaming import ingest
+from tierflow.streaming import ingest, monitor
 from tierflow.streaming.metrics import progress_frame, progress_rows
 
 MONITORING_PROPERTIES = {"delta.enableChangeDataFeed": "true", "delta.autoOptimize.optimizeWrite": "true"}
@@ -91,11 +91,16 @@ def refresh_monitoring(store: TableStore, configs: Sequence[SourceConfig], as_of
 
 
 def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: TableStore, as_of=None,
-               only: str | Sequence[str] | None = None, monitoring_tables: bool = True) -> UpdateResult:
+               only: str | Sequence[str] | None = None, monitoring_tables: bool = True,
+               monitoring_mode: str = "full") -> UpdateResult:
     """Run one update.  Streams of different sources run concurrently; a
     tier starts only after the tier below it is fully drained, so silver never
     reads a half-committed bronze batch.  A failed expectation raises here,
-    after the other sources' streams have finished."""
+    after the other sources' streams have finished.
+
+    ``monitoring_mode``: "full" recomputes the monitoring tables from all
+    rows (the reference's definition); "incremental" appends only the rows of
+    new tier batches, each stamped when processed."""
     chosen = select_sources(configs, only)
     res = UpdateResult()
     for cfg in chosen:
@@ -114,6 +119,11 @@ def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: Tabl
     res.progress += _drain([ingest.start_gold(spark, c, store) for c in incremental])
     for cfg in full:
         res.gold_versions[cfg.transform_table] = refresh_gold(spark, cfg, store)
-    if monitoring_tables:
+    if monitoring_tables and monitoring_mode == "full":
         res.monitoring_versions = refresh_monitoring(store, configs, as_of)
+    elif monitoring_tables and monitoring_mode == "incremental":
+        res.progress += _drain([monitor.start_monitor(spark, c, store, t, as_of)
+                                for c in chosen for t in monitor.MONITORS])
+    elif monitoring_tables:
+        raise ValueError("monitoring_mode must be 'full' or 'incremental'")
     return res

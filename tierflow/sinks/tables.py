@@ -50,10 +50,17 @@ class TableStore:
         return paths.exists(self.path(name))
 
     # -- append tables ---------------------------------------------------------
-    def append_batch(self, name: str, df: DataFrame, batch_id: int, optimize_write: bool = False) -> None:
+    def append_batch(self, name: str, df: DataFrame, batch_id: int, optimize_write: bool = False,
+                     partition: tuple[str, str] | None = None) -> None:
+        """Write one micro-batch as ``[<key>=<value>/]batch_id=<n>/`` (overwrite,
+        so a replayed batch replaces itself).  ``partition`` lets several
+        streams (one per source) append to one table without colliding."""
         if optimize_write:
             df = df.hint("rebalance")
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={int(batch_id)}")
+        prefix = f"{partition[0]}={partition[1]}/" if partition else ""
+        df.write.mode("overwrite").parquet(f"{self.path(name)}/{prefix}batch_id={int(batch_id)}")
+        if partition and self.meta(name).get("partition") != partition[0]:
+            self.set_meta(name, partition=partition[0])
         old = self.stored_schema(name)
         schema = df.schema
         if old is not None:  # additive: keep every column ever written, in first-seen order
@@ -62,7 +69,15 @@ class TableStore:
         self.set_meta(name, kind="append", schema=schema.json())
 
     def batches(self, name: str) -> list[int]:
-        return sorted(int(d.split("=", 1)[1]) for d in paths.list_dirs(self.path(name)) if d.startswith("batch_id="))
+        top = paths.list_dirs(self.path(name))
+        if any(d.startswith("batch_id=") for d in top):
+            return sorted(int(d.split("=", 1)[1]) for d in top if d.startswith("batch_id="))
+        found = set()
+        for d in top:  # partitioned append table: <key>=<value>/batch_id=<n>
+            if "=" in d and not d.startswith(("version=", "_", ".")):
+                found |= {int(b.split("=", 1)[1]) for b in paths.list_dirs(f"{self.path(name)}/{d}")
+                          if b.startswith("batch_id=")}
+        return sorted(found)
 
     def stored_schema(self, name: str) -> T.StructType | None:
         s = self.meta(name).get("schema")
@@ -76,8 +91,12 @@ class TableStore:
             df = self.spark.createDataFrame([], schema).withColumn("batch_id", F.lit(None).cast("int"))
         elif schema is not None:
             # the recorded schema: no footer scan, older files read NULL for newer columns
-            full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType(), True)])
-            df = self.spark.read.schema(full).parquet(self.path(name))
+            part = self.meta(name).get("partition")
+            extra = ([T.StructField(part, T.StringType(), True)] if part else []) + \
+                [T.StructField("batch_id", T.IntegerType(), True)]
+            df = self.spark.read.schema(T.StructType(list(schema.fields) + extra)).parquet(self.path(name))
+            if part and not with_batch_id:
+                df = df.drop(part)
         else:
             df = self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
         return df if with_batch_id else df.drop("batch_id")
