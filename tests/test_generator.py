@@ -60,3 +60,13 @@ def test_generate_landing_then_ingest(spark, tmp):
     assert dict(g.dtypes)["trade_value"] == "decimal(31,4)"
     assert dict(g.dtypes)["timestamp"] == "timestamp"
     assert g.filter(F.col("trade_value") != F.col("price") * F.col("quantity")).count() == 0
+
+
+def test_price_ranges_option(spark):
+    from tierflow.config import SYMBOL_PRICE_RANGES
+    df = generate_trades(spark, "NYSE", 3000, START, END, seed=2, price_ranges=True)
+    for r in df.groupBy("symbol").agg(F.min("price").alias("lo"), F.max("price").alias("hi")).collect():
+        lo, hi = SYMBOL_PRICE_RANGES.get(r.symbol, (10.0, 1010.0))
+        assert Decimal(str(lo)) <= r.lo and r.hi <= Decimal(str(hi)), r
+    plain = generate_trades(spark, "NYSE", 3000, START, END, seed=2)
+    assert _rows(plain.select("id", "symbol")) == _rows(df.select("id", "symbol"))

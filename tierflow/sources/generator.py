@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.config import MARKET_CENTERS, TRADE_EXCHANGES, TRADE_TYPES
+from tierflow.config import MARKET_CENTERS, SYMBOL_PRICE_RANGES, TRADE_EXCHANGES, TRADE_TYPES
 from tierflow.functions.exprs import pick, unit_hash
 
 # Fixed generation sizes of the reference job.
@@ -25,8 +25,12 @@ PARTITIONS = 4
 def generate_trades(spark: SparkSession, exchange: str, rows: int = DEFAULT_ROWS,
                     start: dt.datetime | None = None, end: dt.datetime | None = None,
                     seed: int = 0, partitions: int = PARTITIONS,
-                    symbols: list[str] | None = None) -> DataFrame:
-    """Trades for one exchange over [start, end)."""
+                    symbols: list[str] | None = None, price_ranges: bool = False) -> DataFrame:
+    """Trades for one exchange over [start, end).
+
+    Prices are uniform in 10..1010 (rounded to cents); with ``price_ranges``
+    each symbol's configured range is used instead (symbols without one keep
+    the uniform range)."""
     end = end or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     start = start or end - dt.timedelta(hours=1)
     span = max(1, int((end - start).total_seconds()))
@@ -37,6 +41,17 @@ def generate_trades(spark: SparkSession, exchange: str, rows: int = DEFAULT_ROWS
         return unit_hash(seed, F.col("id"), F.lit(exchange), salt=name)
 
     ts = F.lit(start).cast("timestamp") + F.make_dt_interval(secs=F.floor(u("timestamp") * span).cast("int"))
+    uniform = F.round(u("price") * 1000 + 10, 2)
+    price = uniform
+    if price_ranges:
+        ranged = [(sym, SYMBOL_PRICE_RANGES[sym]) for sym in syms if sym in SYMBOL_PRICE_RANGES]
+        if ranged:
+            sym_col = pick(syms, u("symbol"))
+            price = None
+            for sym, (lo, hi) in ranged:
+                branch = F.round(u("price") * (hi - lo) + lo, 2)
+                price = F.when(sym_col == sym, branch) if price is None else price.when(sym_col == sym, branch)
+            price = price.otherwise(uniform)
     df = spark.range(0, rows, 1, partitions)
     return df.select(
         "id",
@@ -44,7 +59,7 @@ def generate_trades(spark: SparkSession, exchange: str, rows: int = DEFAULT_ROWS
                  (u("trade_id") * 1_000_000).cast("int").cast("string")).alias("trade_id"),
         pick(syms, u("symbol")).alias("symbol"),
         F.lit(exchange).alias("exchange"),
-        F.round(u("price") * 1000 + 10, 2).cast("decimal(10,4)").alias("price"),
+        price.cast("decimal(10,4)").alias("price"),
         (u("quantity") * 10000 + 100).cast("bigint").alias("quantity"),
         ts.alias("timestamp"),
         pick(TRADE_TYPES, u("trade_type")).alias("trade_type"),
