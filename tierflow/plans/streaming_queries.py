@@ -139,7 +139,7 @@ def q_stream_append_changes(spark, sf_dir):
 
 def q_stream_landing_files(spark, sf_dir):
     _, _, _, landing = pipeline_run(spark, sf_dir)
-    return landing_files(spark, landing)
+    return landing_files(spark, landing).select("source", "files", "bytes")
 
 
 def q_stream_time_windows(spark, sf_dir):
@@ -168,6 +168,21 @@ STREAM_QUERIES = {
     "stream_time_windows": q_stream_time_windows,
 }
 
+def _landing_bytes_sql() -> str:
+    """Bytes of the exported CSV per exchange: every field's text, separators,
+    a newline per row, and one header line per file (values need no quoting)."""
+    fields = (["trade_id", "symbol", "exchange", "CAST(price AS VARCHAR)", "CAST(quantity AS VARCHAR)",
+               "CAST(timestamp AS VARCHAR)", "trade_type", "market_center", "CAST(timestamp AS VARCHAR)",
+               "source_file"])
+    row = " + ".join(f"length({f})" for f in fields) + f" + {len(fields)}"
+    header = len(",".join(TRADE_LIST + ["ingestion_timestamp", "file_path"])) + 1
+    n_files = FILES_PER_EXCHANGE * 2
+    return ("SELECT lower(exchange) AS source, CAST(" + str(n_files) + " AS BIGINT) AS files, "
+            f"CAST(sum({row} + CASE WHEN exchange = 'NASDAQ' THEN length(market_center) + 1 ELSE 0 END) "
+            f"+ {n_files} * ({header} + CASE WHEN exchange = 'NASDAQ' THEN {len(',venue')} ELSE 0 END) AS BIGINT) "
+            "AS bytes FROM trades GROUP BY exchange")
+
+
 _RESCUE_SQL = "CASE WHEN exchange = 'NASDAQ' THEN '{\"venue\":\"' || market_center || '\"}' END"
 _SILVER_SQL = (f"SELECT {TRADE_COLS}, timestamp AS ingestion_timestamp, source_file AS file_path, "
                f"{_RESCUE_SQL} AS _rescued_data, {AS_OF_SQL} AS processing_timestamp FROM trades "
@@ -193,6 +208,7 @@ STREAM_ORACLES = {
                                  "CAST(0 AS BIGINT) AS violations FROM trades GROUP BY exchange"),
     "stream_compact": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s "
                          "WHERE exchange = 'NYSE'"),
+    "stream_landing_files": _w(_landing_bytes_sql()),
     "stream_change_feed": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value, "
                              "'insert' AS _change_type, 2 AS _commit_version "
                              f"FROM ({_SILVER_SQL}) s WHERE exchange = 'NYSE' AND timestamp >= TIMESTAMP '{DROP_CUTOFF}'"),
