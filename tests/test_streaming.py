@@ -218,3 +218,12 @@ def test_incremental_monitoring_matches_full(spark, tmp):
             sorted(map(tuple, i.select(cols).collect()), key=key), table
     assert inc_store.read("trade_changes_summary").count() == 3
     assert inc_store.batches("trade_changes_summary") == [0, 1]
+
+
+def test_header_fallback_on_driver(spark, tmp, monkeypatch):
+    from tierflow.sources import landing
+    write(f"{tmp}/h/a.csv", 'x,"y,z"\n1,2\n')
+    uri = f"file:{tmp}/h/a.csv"
+    assert landing.read_headers(spark, [uri]) == {uri: ["x", "y,z"]}
+    monkeypatch.setattr(landing.DataFrame, "mapInPandas", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("no fs")))
+    assert landing.read_headers(spark, [uri]) == {uri: ["x", "y,z"]}

@@ -129,6 +129,13 @@ def read_text(uri: str) -> str | None:
 
 
 def read_head(uri: str, nbytes: int = 65536) -> bytes:
+    h = _hadoop(uri)
+    if h:
+        inp = h[0].open(h[1])
+        try:
+            return bytes(inp.readNBytes(int(nbytes)))
+        finally:
+            inp.close()
     f, p = _split(uri)
     with f.open_input_file(p) as inp:
         return inp.read(nbytes)
