@@ -54,21 +54,27 @@ def landing_frame(spark: SparkSession, sf_dir: str, exchange: str, drop: str | N
     return df.repartition(FILES_PER_EXCHANGE)
 
 
-def pipeline_run(spark: SparkSession, sf_dir: str):
-    key = (spark.sparkContext.applicationId, sf_dir)
+def pipeline_run(spark: SparkSession, sf_dir: str, incremental: bool = False):
+    """``incremental=False``: the reference's semantics (gold and monitoring
+    recomputed in full each update).  ``incremental=True``: gold appended per
+    silver batch (the template is row-wise) and monitoring tables appended per
+    tier batch; same rows, O(new data) per update."""
+    key = (spark.sparkContext.applicationId, sf_dir, incremental)
     with _LOCK:
         if key in _RUNS:
             return _RUNS[key]
-        root = work_dir(spark, "pipeline")
+        root = work_dir(spark, "pipeline-incremental" if incremental else "pipeline")
         landing, state, tables = f"{root}/landing", f"{root}/state", f"{root}/tables"
         configs = default_sources(landing, state, declared_types=ADAPTER_TYPES,
-                                  max_files_per_trigger=FILES_PER_TRIGGER)
+                                  max_files_per_trigger=FILES_PER_TRIGGER,
+                                  gold_mode="auto" if incremental else "full")
         store = TableStore(spark, tables)
         results = []
         for drop, prefix in (("initial", "trades"), ("incremental", "incremental")):
             for ex in EXCHANGES:
                 write_landing(landing_frame(spark, sf_dir, ex, drop), landing, ex, prefix, "00000000_000000")
-            results.append(run_update(spark, configs, store, as_of=AS_OF_SPARK))
+            results.append(run_update(spark, configs, store, as_of=AS_OF_SPARK,
+                                      monitoring_mode="incremental" if incremental else "full"))
         _RUNS[key] = (store, configs, results, landing)
         return _RUNS[key]
 
@@ -118,6 +124,19 @@ def q_stream_compact(spark, sf_dir):
     return store.read(name).select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"))
 
 
+def q_stream_incremental_gold(spark, sf_dir):
+    store, configs, _, _ = pipeline_run(spark, sf_dir, incremental=True)
+    assert all(store.meta(c.transform_table).get("kind") == "append" for c in configs)
+    g = union_tier([store.read(c.transform_table) for c in configs])
+    return g.select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"))
+
+
+def q_stream_incremental_monitoring(spark, sf_dir):
+    store, _, _, _ = pipeline_run(spark, sf_dir, incremental=True)
+    m = store.read("quality_changes_monitoring")
+    return m.select(*SILVER_OUT, "quality_check_timestamp", "quality_layer", "change_detected", "processing_method")
+
+
 def q_stream_change_feed(spark, sf_dir):
     """Rows that changed in gold_nyse_trades between the two updates."""
     store, configs, results, _ = pipeline_run(spark, sf_dir)
@@ -165,6 +184,8 @@ STREAM_QUERIES = {
     "stream_landing_files": q_stream_landing_files,
     "stream_change_feed": q_stream_change_feed,
     "stream_append_changes": q_stream_append_changes,
+    "stream_incremental_gold": q_stream_incremental_gold,
+    "stream_incremental_monitoring": q_stream_incremental_monitoring,
     "stream_time_windows": q_stream_time_windows,
 }
 
@@ -209,6 +230,9 @@ STREAM_ORACLES = {
     "stream_compact": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s "
                          "WHERE exchange = 'NYSE'"),
     "stream_landing_files": _w(_landing_bytes_sql()),
+    "stream_incremental_gold": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s"),
+    "stream_incremental_monitoring": _w(f"SELECT *, {AS_OF_SQL} AS quality_check_timestamp, 'silver' AS quality_layer, "
+                                        f"true AS change_detected, 'streaming' AS processing_method FROM ({_SILVER_SQL}) s"),
     "stream_change_feed": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value, "
                              "'insert' AS _change_type, 2 AS _commit_version "
                              f"FROM ({_SILVER_SQL}) s WHERE exchange = 'NYSE' AND timestamp >= TIMESTAMP '{DROP_CUTOFF}'"),
