@@ -227,3 +227,16 @@ def test_header_fallback_on_driver(spark, tmp, monkeypatch):
     assert landing.read_headers(spark, [uri]) == {uri: ["x", "y,z"]}
     monkeypatch.setattr(landing.DataFrame, "mapInPandas", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("no fs")))
     assert landing.read_headers(spark, [uri]) == {uri: ["x", "y,z"]}
+
+
+def test_plain_csv_stream_to_append_table(spark, tmp):
+    from tierflow.sinks.streams import append_stream
+    from tierflow.sources.landing import stream_landing
+    write(f"{tmp}/l/nyse/bronze/a.csv", HEADER + "\nT1,AAPL,NYSE,2,3,2024-01-01 10:00:00,BUY,MAIN\n"
+                                                 "T2,AAPL,NYSE,-1,3,2024-01-01 10:00:00,BUY,MAIN\n")
+    cols = HEADER.split(",")
+    s = stream_landing(spark, f"{tmp}/l/*/bronze/", cols).filter(F.expr("try_cast(price AS double)") > 0)
+    append_stream(s, f"{tmp}/out", f"{tmp}/ck").awaitTermination()
+    append_stream(s, f"{tmp}/out", f"{tmp}/ck").awaitTermination()  # restart: nothing repeated
+    got = spark.read.parquet(f"{tmp}/out").collect()
+    assert [r.trade_id for r in got] == ["T1"] and got[0].source_file.endswith("a.csv")
