@@ -240,3 +240,28 @@ def test_plain_csv_stream_to_append_table(spark, tmp):
     append_stream(s, f"{tmp}/out", f"{tmp}/ck").awaitTermination()  # restart: nothing repeated
     got = spark.read.parquet(f"{tmp}/out").collect()
     assert [r.trade_id for r in got] == ["T1"] and got[0].source_file.endswith("a.csv")
+
+
+def test_windowed_stream_late_data_append_mode(spark, tmp):
+    import datetime as dt
+    from tierflow.streaming.windows import run_windows, windowed_counts
+    schema = "ts timestamp, event_type string, value double"
+    d = dt.datetime
+    src = f"{tmp}/events"
+    spark.createDataFrame([(d(2024, 1, 1, 10, 5), "a", 1.0), (d(2024, 1, 1, 10, 10), "a", 2.0),
+                           (d(2024, 1, 1, 12, 30), "a", 4.0)], schema).coalesce(1).write.parquet(f"{src}/b1")
+    store = TableStore(spark, f"{tmp}/tables")
+
+    def drain():
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src)
+        agg = windowed_counts(stream, "ts", "1 hour", by=["event_type"], value="value", watermark="1 hour")
+        run_windows(agg, store, "w", f"{tmp}/ck", mode="append").awaitTermination()
+
+    drain()
+    # 10:20 arrives after the watermark (12:30 - 1h = 11:30) passed its window: dropped.
+    # 11:40 is late but inside the watermark: counted.  14:10 opens a window that stays open.
+    spark.createDataFrame([(d(2024, 1, 1, 10, 20), "a", 8.0), (d(2024, 1, 1, 11, 40), "a", 16.0),
+                           (d(2024, 1, 1, 14, 10), "a", 32.0)], schema).coalesce(1).write.parquet(f"{src}/b2")
+    drain()
+    got = sorted((r.window_start.hour, r.events, float(r.sum_value)) for r in store.read_append("w").collect())
+    assert got == [(10, 2, 3.0), (11, 1, 16.0), (12, 1, 4.0)]
