@@ -38,7 +38,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    try:
+        d = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext in this client (Spark Connect)
+        d = None
     if d:
         # SparkContext appends a per-application uuid folder; state we keep
         # across applications (stream checkpoints, tables) goes one level up.
@@ -52,7 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if root:
         return root
     root = tempfile.mkdtemp(prefix="tierflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(root)
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001 - Spark Connect: the conf entry is enough for our own folders
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 

@@ -50,8 +50,12 @@ def spread(df: DataFrame) -> DataFrame:
     row group is read by one task however many splits it gets; a round-robin
     spread lets the (CPU-bound) projections downstream run on every core.  A
     large input already has more splits than cores and is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
