@@ -20,17 +20,22 @@ from tierflow.functions.exprs import pick, unit_hash
 DEFAULT_ROWS = 1000
 INCREMENTAL_ROWS = 500
 PARTITIONS = 4
+ROWS_PER_PARTITION = 2_000_000
 
 
 def generate_trades(spark: SparkSession, exchange: str, rows: int = DEFAULT_ROWS,
                     start: dt.datetime | None = None, end: dt.datetime | None = None,
-                    seed: int = 0, partitions: int = PARTITIONS,
+                    seed: int = 0, partitions: int | None = None,
                     symbols: list[str] | None = None, price_ranges: bool = False) -> DataFrame:
     """Trades for one exchange over [start, end).
 
     Prices are uniform in 10..1010 (rounded to cents); with ``price_ranges``
     each symbol's configured range is used instead (symbols without one keep
-    the uniform range)."""
+    the uniform range).  Partitions default to the reference's 4, growing
+    with ``rows`` so no task generates more than ~2M rows; values do not
+    depend on the partitioning."""
+    if partitions is None:
+        partitions = max(PARTITIONS, -(-rows // ROWS_PER_PARTITION))
     end = end or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     start = start or end - dt.timedelta(hours=1)
     span = max(1, int((end - start).total_seconds()))
