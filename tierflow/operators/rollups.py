@@ -44,15 +44,12 @@ def trade_metrics(gold: DataFrame, by: Sequence[str] = ("exchange", "symbol")) -
 def schema_changes(bronze: DataFrame, by: Sequence[str] = (), rescued: str = "_rescued_data",
                    file_col: str = "source_file") -> DataFrame:
     """Columns seen only in rescued data: rows carrying them and the first file."""
+    order = ["batch_id"] if "batch_id" in bronze.columns else []
     keys = bronze.filter(F.col(rescued).isNotNull()).select(
-        *by, file_col, F.explode(F.json_object_keys(F.col(rescued))).alias("column_name"))
-    order = "batch_id" if "batch_id" in bronze.columns else None
-    if order:
-        keys = bronze.filter(F.col(rescued).isNotNull()).select(
-            *by, file_col, order, F.explode(F.json_object_keys(F.col(rescued))).alias("column_name"))
-        first = F.min_by(F.col(file_col), F.struct(F.col(order), F.col(file_col)))
-    else:
-        first = F.min(F.col(file_col))
+        *by, file_col, *order, F.explode(F.json_object_keys(F.col(rescued))).alias("column_name"))
+    # the first file: earliest batch, then name
+    first = (F.min_by(F.col(file_col), F.struct(F.col(order[0]), F.col(file_col))) if order
+             else F.min(F.col(file_col)))
     return keys.groupBy(*by, "column_name").agg(F.count(F.lit(1)).alias("rows"), first.alias("first_file"))
 
 
