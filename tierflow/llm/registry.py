@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tierflow.llm import mixing, sharding, toxicity
+from tierflow.llm import mixing, ngram_join, sharding, toxicity
 
-MODULES = (sharding, toxicity, mixing)
+MODULES = (ngram_join, sharding, toxicity, mixing)
 
 
 def queries() -> dict[str, Callable]:
