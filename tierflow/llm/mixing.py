@@ -99,6 +99,16 @@ def mix_plan(sized: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float
     return plan.select(F.col("t.__mix_s").alias("source"), "source_size", "target", "whole", last.alias("last_key"))
 
 
+def _salt(key: Column) -> Column:
+    return F.substring(key, -1, 1)
+
+
+def _salted(plan: DataFrame) -> DataFrame:
+    """Each source once for each salt, so that a join on source and salt deals
+    a source with a third of all rows to several tasks."""
+    return plan.withColumn("__mix_salt", F.explode(F.array(*[F.lit(x) for x in "0123456789abcdef"])))
+
+
 def _copies() -> Column:
     more = (F.col("size") > 0) & (F.col("key") <= F.col("last_key"))
     return F.col("whole") + F.when(more, 1).otherwise(0)
@@ -118,8 +128,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     agree: the order depends on the ids and the seed alone.  An empty table
     gives an empty result; other columns of the input are ignored."""
     sized = cut(_sized(docs, id_col, text_col, source_col, seed))  # read three times, without the texts
-    plan = mix_plan(sized, weights, budget, max_epochs).withColumnRenamed("source", "__mix_s")
-    out = sized.join(plan, F.col("source").eqNullSafe(F.col("__mix_s")), "left").withColumn("copies", _copies())
+    plan = _salted(mix_plan(sized, weights, budget, max_epochs)).withColumnRenamed("source", "__mix_s")
+    on = F.col("source").eqNullSafe(F.col("__mix_s")) & (_salt(F.col("key")) == F.col("__mix_salt"))
+    out = sized.join(plan, on, "left").withColumn("copies", _copies())
     return out.select("doc_id", "source", "size", "source_size", "target", "copies",
                       (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -130,13 +141,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix itself: the rows of ``docs``, each as often as the mix takes it.
     Texts are not shuffled: they only meet the small table of sources."""
     sized = cut(_sized(docs, id_col, text_col, source_col, seed))
-    plan = mix_plan(sized, weights, budget, max_epochs).select(
-        F.col("source").alias("__mix_s"), F.col("whole").alias("__mix_whole"), F.col("last_key").alias("__mix_last"))
+    plan = _salted(mix_plan(sized, weights, budget, max_epochs)).select(
+        F.col("source").alias("__mix_s"), F.col("whole").alias("__mix_whole"), F.col("last_key").alias("__mix_last"),
+        "__mix_salt")
     source = F.col(f"`{source_col}`")
     has_word = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(WORD)
     more = has_word & (_seeded(F.col(f"`{id_col}`"), seed) <= F.col("__mix_last"))
     copies = (F.col("__mix_whole") + F.when(more, 1).otherwise(0)).cast("int")
-    out = docs.join(plan, source.eqNullSafe(F.col("__mix_s")))
+    key = _seeded(F.col(f"`{id_col}`"), seed)
+    out = docs.join(plan, source.eqNullSafe(F.col("__mix_s")) & (_salt(key) == F.col("__mix_salt")))
     return (out.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.greatest(copies, F.lit(1)))))
             .filter(F.col("__mix_copy") <= copies).select(*[F.col(f"`{c}`") for c in docs.columns]))
 
