@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tierflow.llm import mixing, ngram_join, quality_rules, sharding, toxicity
+from tierflow.llm import license_scan, mixing, ngram_join, quality_rules, sharding, toxicity
 
-MODULES = (ngram_join, quality_rules, sharding, toxicity, mixing)
+MODULES = (ngram_join, quality_rules, sharding, toxicity, mixing, license_scan)
 
 
 def queries() -> dict[str, Callable]:
