@@ -141,17 +141,19 @@ def distinct_per_row(h, row, rows: int):
     return h, row, np.bincount(row, minlength=rows).astype(np.int64)
 
 
-def planes(a) -> bytes:
-    """The bytes of an integer array, all lowest bytes first and so on, so that
-    Spark's shuffle compression sees the constant high bytes as runs."""
+def planes(a, width: int | None = None) -> bytes:
+    """The lowest ``width`` bytes of an integer array, all lowest bytes first and
+    so on, so that Spark's shuffle compression sees constant high bytes as runs."""
     a = np.ascontiguousarray(a)
-    return a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
+    return a.view(np.uint8).reshape(len(a), a.dtype.itemsize)[:, :width].T.tobytes()
 
 
-def unplanes(data, dtype, count: int):
+def unplanes(data, dtype, count: int, width: int | None = None):
     dtype = np.dtype(dtype)
-    a = np.frombuffer(data, dtype=np.uint8, count=count * dtype.itemsize)
-    return np.ascontiguousarray(a.reshape(dtype.itemsize, count).T).view(dtype).reshape(count)
+    width = width or dtype.itemsize
+    out = np.zeros((count, dtype.itemsize), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(data, dtype=np.uint8, count=count * width).reshape(width, count).T
+    return out.view(dtype).reshape(count)
 
 
 def top_bucket(h, buckets: int):
