@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tierflow.llm import (decontamination, license_scan, mixing, ngram_join, ppm, quality_rules, sharding, toxicity,
-                           url_filter)
+from tierflow.llm import (decontamination, license_scan, mixing, ngram_join, passage_chains, ppm, quality_rules,
+                           sharding, toxicity, url_filter)
 
-MODULES = (ngram_join, quality_rules, decontamination, ppm, sharding, url_filter, toxicity, mixing, license_scan)
+MODULES = (ngram_join, quality_rules, decontamination, ppm, sharding, url_filter, toxicity, passage_chains, mixing,
+           license_scan)
 
 
 def queries() -> dict[str, Callable]:
