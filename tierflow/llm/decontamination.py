@@ -31,6 +31,7 @@ MIN_LITERALS = 5  # of a window; fewer and the template says too little
 MIN_WORDS = 10
 MIN_COVERAGE = 0.5
 FILTER_BITS = 1 << 24  # 2 MB
+MAX_BROADCAST = 1_000_000  # ids: 16 MB
 # Units that follow a number.
 UNITS = ("mm cm m km in ft yd mi mg g kg t lb oz ml l s ms min h hr hour hours minute minutes second seconds day days "
          "week weeks month months year years percent % usd eur gbp dollar dollars euro euros cent cents mph kmh km/h "
@@ -251,7 +252,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item is found; rows with a null id are
     judged together."""
-    bad = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__bad")).distinct()
+    bad = cut(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__bad")).distinct())
+    if bad.count() <= MAX_BROADCAST:  # else a join of both sides by id
+        bad = F.broadcast(bad)
     return docs.join(bad, F.col(f"`{id_col}`").eqNullSafe(F.col("__bad")), "left_anti")
 
 
