@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import sys
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.session import ensure_checkpoint_dir
+from tierflow.session import work_dir
+from tierflow.sinks.paths import delete_dir
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word: code points other than ASCII white space
 GAP = r"[\x20\x09-\x0D]+"
@@ -24,11 +26,33 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_WRITTEN: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder that the
-    session names in ``spark.checkpoint.dir`` (a lost executor loses nothing)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the rows as a Parquet table in the shared folder that
+    the session names in ``spark.checkpoint.dir`` and read it again (a lost
+    executor loses nothing, and the table's size is known to the planner).  The
+    tables of a process are removed when it ends, or by ``release``."""
+    spark = df.sparkSession
+    path = work_dir(spark, "cut")
+    df.write.parquet(path)
+    if not _WRITTEN:
+        atexit.register(release)
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release() -> None:
+    """Remove the tables written by ``cut``; results that still read them must
+    have been computed."""
+    while _WRITTEN:
+        path = _WRITTEN.pop()
+        try:
+            delete_dir(path)
+        except Exception as e:  # noqa: BLE001 - the session may have ended first
+            sys.stderr.write(f"left {path}: {type(e).__name__}\n")
+            return
 
 
 def words(text: Column) -> Column:
