@@ -112,6 +112,14 @@ def hash_spans(b, starts, ends, lower: bool = True):
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def ahead(a, j: int, fill: int = 0):
+    """The array moved j places to the front, filled up at the end."""
+    out = np.full(len(a), fill, dtype=a.dtype)
+    if j < len(a):
+        out[:len(a) - j] = a[j:]
+    return out
+
+
 def shingles(word_hash, counts, k: int):
     """(hash, row) of every k-word window; a row with fewer words, but at least
     one, has a single window of all its words."""
@@ -121,8 +129,7 @@ def shingles(word_hash, counts, k: int):
     left = row_end[row_of] - np.arange(n)  # words from here to the row's end
     h = np.full(n, k, dtype=np.uint64)
     for j in range(k):
-        part = np.zeros(n, dtype=np.uint64)
-        part[:n - j] = word_hash[j:]
+        part = ahead(word_hash, j)
         part[left <= j] = np.uint64(0)
         h = mix(h * np.uint64(_BASE) + part)
     short = (counts[row_of] < k) & (left == counts[row_of])
