@@ -1,6 +1,6 @@
 """License scan: MinHash bands over overlapping windows, then exact containment.
 
-Texts are words (letters and digits, lower case) and 3-word shingles.  Templates
+Texts are words (lower case, parted by ``GAP``) and 3-word shingles.  Templates
 are sorted into classes by length; a class has windows of a fixed number of
 shingles at a fixed stride, chosen so that every place of a text as long as the
 longest template of the class lies wholly in one window.  A window is compared
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import read
 
 K = 3  # words of a shingle
+# what parts words: ASCII other than letters and digits, and the usual marks and spaces beyond ASCII
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\u00A0\u00AB\u00BB\u2000-\u206F]+"
 BANDS = 16
 CONTAINMENT = 0.75
 RATIO = 1.25  # between the longest templates of neighbouring classes
@@ -62,7 +64,7 @@ TEMPLATES = {
 def shingle_hashes(text: Column) -> Column:
     """Hashes of the 3-word shingles of a text, in order, as one array; the
     expression evaluates the words once."""
-    w = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    w = F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), GAP), "")
     h = F.transform(w, lambda x: F.xxhash64(x))
 
     def join(h: Column) -> Column:
@@ -121,7 +123,9 @@ def scan(spark: SparkSession, docs: DataFrame, templates: Mapping[str, str] = TE
              .select("license", "cls", "template", F.explode(_minhash(F.col("template"))).alias("m"))
              .select("license", "cls", "template", F.col("m.band").alias("band"), F.col("m.value").alias("value")))
     known = F.array(*[F.lit(x) for x in sorted({x for r in found for x in r["s"]})])
-    d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), shingle_hashes(F.col(f"`{text_col}`")).alias("s"))
+    # a generator, so that the filter below does not compute the shingles once more beneath the projection
+    d = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
+                    F.explode(F.array(shingle_hashes(F.col(f"`{text_col}`")))).alias("s"))
     d = d.filter(F.arrays_overlap("s", known)).select("doc_id", "s", F.array_intersect("s", known).alias("hit"))
     at = F.filter(F.transform("s", lambda x, i: F.when(F.array_contains("hit", x), i)), lambda i: i.isNotNull())
     d = d.select("doc_id", "s", at.alias("at"))
@@ -155,7 +159,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql() -> str:
     rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
-    split = r"list_filter(string_split_regex(lower({}), '[^\pL\pN]+'), lambda x: x <> '')"
+    gap = "[" + r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F\x{00A0}\x{00AB}\x{00BB}\x{2000}-\x{206F}" + "]+"
+    split = "list_filter(string_split_regex(lower({}), '" + gap.replace("{", "{{").replace("}", "}}") + "'), lambda x: x <> '')"
     cut = f"list_transform(range(1, len(w) - {K - 2}), lambda i: array_to_string(w[i:i + {K - 1}], ' '))"
     table = ", ".join(f"({n}, {c}, {classes([n])[c][0]}, {classes([n])[c][1]})"
                       for n in range(1, 200) for c in [class_of(n)])
