@@ -126,9 +126,10 @@ def scan(spark: SparkSession, docs: DataFrame, templates: Mapping[str, str] = TE
     # a generator, so that the filter below does not compute the shingles once more beneath the projection
     d = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                     F.explode(F.array(shingle_hashes(F.col(f"`{text_col}`")))).alias("s"))
-    d = d.filter(F.arrays_overlap("s", known)).select("doc_id", "s", F.array_intersect("s", known).alias("hit"))
-    at = F.filter(F.transform("s", lambda x, i: F.when(F.array_contains("hit", x), i)), lambda i: i.isNotNull())
-    d = d.select("doc_id", "s", at.alias("at"))
+    # the common shingles are bound by a lambda: as a column they would be computed for every shingle again
+    at = F.element_at(F.transform(F.array(F.array_intersect("s", known)), lambda hit: F.filter(
+        F.transform("s", lambda x, i: F.when(F.array_contains(hit, x), i)), lambda i: i.isNotNull())), 1)
+    d = d.filter(F.arrays_overlap("s", known)).select("doc_id", "s", at.alias("at"))
 
     def starts(cls: int, size: int, stride: int) -> Column:
         some = F.transform("at", lambda p: F.sequence(
