@@ -63,10 +63,10 @@ def test_generate_landing_then_ingest(spark, tmp):
 
 
 def test_price_ranges_option(spark):
-    from tierflow.config import SYMBOL_PRICE_RANGES
-    df = generate_trades(spark, "NYSE", 3000, START, END, seed=2, price_ranges=True)
+    ranges = {"AAPL": (150.0, 200.0), "V": (0.5, 1.5)}
+    df = generate_trades(spark, "NYSE", 3000, START, END, seed=2, price_ranges=ranges)
     for r in df.groupBy("symbol").agg(F.min("price").alias("lo"), F.max("price").alias("hi")).collect():
-        lo, hi = SYMBOL_PRICE_RANGES.get(r.symbol, (10.0, 1010.0))
+        lo, hi = ranges.get(r.symbol, (10.0, 1010.0))
         assert Decimal(str(lo)) <= r.lo and r.hi <= Decimal(str(hi)), r
     plain = generate_trades(spark, "NYSE", 3000, START, END, seed=2)
     assert _rows(plain.select("id", "symbol")) == _rows(df.select("id", "symbol"))

@@ -265,3 +265,106 @@ def test_windowed_stream_late_data_append_mode(spark, tmp):
     drain()
     got = sorted((r.window_start.hour, r.events, float(r.sum_value)) for r in store.read_append("w").collect())
     assert got == [(10, 2, 3.0), (11, 1, 16.0), (12, 1, 4.0)]
+
+
+def _landing_config(tmp, **kw):
+    from tierflow.config import default_sources
+    return default_sources(f"{tmp}/landing", f"{tmp}/state", exchanges=("NYSE",), **kw)[0]
+
+
+def _rows_of(tmp, *names_and_text):
+    import gzip
+    import os
+    d = f"{tmp}/landing/nyse/bronze"
+    os.makedirs(d, exist_ok=True)
+    for name, text in names_and_text:
+        with (gzip.open if name.endswith(".gz") else open)(f"{d}/{name}", "wb") as f:
+            f.write(text.encode())
+    return d
+
+
+def test_no_landing_file_is_lost(spark, tmp):
+    """Old files, compressed ones, other suffixes and blank first lines arrive."""
+    import os
+    import time
+
+    from tierflow.sinks.tables import TableStore
+    from tierflow.streaming.ingest import start_bronze
+    cfg, store = _landing_config(tmp), TableStore(spark, f"{tmp}/tables")
+    _rows_of(tmp, ("new.csv", "trade_id,exchange\nT1,NYSE\n"))
+    start_bronze(spark, cfg, store).awaitTermination()
+    d = _rows_of(tmp, ("old.csv", "trade_id,exchange\nT2,NYSE\n"), ("packed.csv.gz", "trade_id,exchange\nT3,NYSE\n"),
+                 ("UPPER.CSV", "trade_id,exchange\nT4,NYSE\n"), ("blank.csv", "\n \ntrade_id,exchange\nT5,NYSE\n"),
+                 ("plain", "trade_id,exchange\nT6,NYSE\n"), ("empty.csv", ""), ("_hidden.csv", "trade_id\nT7\n"))
+    os.utime(f"{d}/old.csv", (time.time() - 30 * 86400,) * 2)
+    start_bronze(spark, cfg, store).awaitTermination()
+    assert sorted(r.trade_id for r in store.read(cfg.raw_table).collect()) == ["T1", "T2", "T3", "T4", "T5", "T6"]
+
+
+def test_overlong_header_is_an_error(tmp):
+    import pytest
+
+    from tierflow.sources import landing
+    d = _rows_of(tmp, ("wide.csv", ",".join(f"xxx{i}" for i in range(20_000))))
+    with pytest.raises(ValueError, match="does not end"):
+        landing._file_header(f"{d}/wide.csv", limit=1 << 16)
+    assert landing._file_header(f"{d}/wide.csv")[0].startswith("xxx")
+
+
+def test_three_writers_of_one_table(spark, tmp):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tierflow.sinks.tables import TableStore
+    store = TableStore(spark, f"{tmp}/tables")
+
+    def write(source):
+        for i in range(4):
+            store.append_batch("shared", spark.range(5).withColumnRenamed("id", f"c_{source}"), i, partition=("source", source))
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, ["a", "b", "c"]))
+    assert store.read("shared").count() == 60
+    assert {"c_a", "c_b", "c_c"} <= set(store.read("shared").columns)
+
+
+def test_versions_expire_and_commit_is_recorded(spark, tmp):
+    from tierflow.sinks.tables import TableStore
+    store = TableStore(spark, f"{tmp}/tables")
+    for i in range(5):
+        store.write_snapshot("t", spark.range(i + 1))
+    assert store.expire_versions("t", 2) == [1, 2, 3] and store.versions("t") == [4, 5]
+    spark.range(9).write.parquet(f"{store.path('t')}/version=6")  # written, never committed
+    assert store.latest_version("t") == 5 and store.read("t").count() == 5
+
+
+def test_violations_of_a_failed_batch_are_recorded(spark, tmp):
+    import pytest
+
+    from tierflow.config import default_sources
+    from tierflow.plans.pipeline import run_update
+    from tierflow.sinks.tables import TableStore
+    cfg = default_sources(f"{tmp}/landing", f"{tmp}/state", exchanges=("NYSE",))[0]
+    store = TableStore(spark, f"{tmp}/tables")
+    _rows_of(tmp, ("a.csv", "trade_id,exchange,price,quantity\nT1,NYSE,1.5,10\nT2,NYSE,-1,10\nT3,LSE,-1,10\n"))
+    with pytest.raises(Exception):
+        run_update(spark, [cfg], store)
+    got = store.read(f"_quality_metrics/{cfg.name}").collect()
+    assert [(r.rows_in, r.rows_selected, r.violations) for r in got] == [(3, 2, 1)]
+
+
+def test_row_wise_templates(spark):
+    from tierflow.operators.transforms import is_row_wise
+    df = spark.createDataFrame([(1.0, 2)], "LimitPrice double, quantity int").withColumnRenamed("quantity", "Sorted")
+    yes = ["SELECT *, LimitPrice * 2 AS x FROM __TABLE__", "SELECT explode(array(LimitPrice, 1.0D)) AS e FROM __TABLE__ WHERE Sorted > 0"]
+    no = ["SELECT *, monotonically_increasing_id() AS n FROM __TABLE__", "SELECT *, rand() AS n FROM __TABLE__",
+          "SELECT max(LimitPrice) AS m FROM __TABLE__", "SELECT * FROM __TABLE__ LIMIT 3", "SELECT DISTINCT * FROM __TABLE__",
+          "SELECT *, row_number() OVER (ORDER BY Sorted) AS r FROM __TABLE__"]
+    assert all(is_row_wise(spark, df, q, "v_rw") for q in yes)
+    assert not any(is_row_wise(spark, df, q, "v_rw") for q in no)
+
+
+def test_alert_thresholds_per_source(spark):
+    from tierflow.operators.quality import alerts
+    c = spark.createDataFrame([("NYSE", "r", 10, 1, 0.9), ("LSE", "r", 10, 1, 0.9)],
+                              "exchange string, rule string, rows long, failed long, pass_rate double")
+    assert [r.exchange for r in alerts(c, 0.95, per_group={"LSE": 0.5}).collect()] == ["NYSE"]

@@ -133,7 +133,13 @@ def drift(df: DataFrame, by: Sequence[str] = ("exchange",), ts: str = "timestamp
                       (F.col("mean_value") - prev).cast("decimal(20,4)").alias("mean_change"))
 
 
-def alerts(compliance: DataFrame, threshold: float, by: Sequence[str] = ("exchange",)) -> DataFrame:
-    """(group, rule) pairs whose pass rate is below ``threshold``."""
-    return (compliance.filter(F.col("pass_rate") < F.lit(threshold))
-            .select(*by, "rule", "rows", "failed", "pass_rate", F.lit(threshold).alias("threshold")))
+def alerts(compliance: DataFrame, threshold: float, by: Sequence[str] = ("exchange",),
+           per_group: Mapping[str, float] | None = None) -> DataFrame:
+    """(group, rule) pairs whose pass rate is below their threshold: that of
+    their group (a value of the first ``by`` column) in ``per_group``, else
+    ``threshold``."""
+    limit = F.lit(float(threshold))
+    for group, own in (per_group or {}).items():
+        limit = F.when(F.col(by[0]) == group, F.lit(float(own))).otherwise(limit)
+    return (compliance.withColumn("threshold", limit).filter(F.col("pass_rate") < F.col("threshold"))
+            .select(*by, "rule", "rows", "failed", "pass_rate", "threshold"))

@@ -14,13 +14,15 @@ from tierflow.functions.exprs import as_of_column
 
 
 def file_rollup(df: DataFrame, by: Sequence[str] = ("exchange", "source_file"), ts: str = "timestamp",
-                quantity: str = "quantity", as_of=None) -> DataFrame:
-    """Rows, first/last event time and quantity per landing file."""
+                quantity: str = "quantity", as_of=None, ingested: str | None = None) -> DataFrame:
+    """Rows, first/last event time and quantity per landing file; with
+    ``ingested`` (a time column) also when its last row was ingested."""
     out = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
         F.min(ts).alias("first_event_ts"),
         F.max(ts).alias("last_event_ts"),
         F.sum(quantity).alias("total_quantity"),
+        *([F.max(ingested).alias("ingested_at")] if ingested else []),
     )
     return out.withColumn("rollup_timestamp", as_of_column(as_of))
 

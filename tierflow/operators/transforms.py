@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -43,9 +44,10 @@ def union_tier(tables: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-# Physical operators that make a template depend on more than one row at a time.
-NON_ROW_WISE = ("Aggregate", "Exchange", "Window", "Join", "Sort", "Limit", "Expand", "Sample",
-                "CartesianProduct", "TakeOrdered", "Union", "Intersect", "Except", "Deduplicate")
+# Physical operators that handle each row by itself; a template with any other
+# one is not row-wise.
+ROW_WISE = {"AdaptiveSparkPlan", "Project", "Filter", "Generate", "ColumnarToRow", "FileScan", "Scan", "BatchScan",
+            "LocalTableScan"}
 
 
 def is_row_wise(spark: SparkSession, df: DataFrame, sql: str, view_name: str,
@@ -53,8 +55,12 @@ def is_row_wise(spark: SparkSession, df: DataFrame, sql: str, view_name: str,
     """True when the template maps each input row independently (projection /
     filter / generator only), so applying it per micro-batch and appending
     gives the same rows as applying it to the whole table.  Decided from the
-    physical plan Spark prints for the template (SQL ``EXPLAIN``)."""
+    operators of the physical plan that Spark prints for the template (SQL
+    ``EXPLAIN``): all must be on the list of row-wise ones.  A template with a
+    non-deterministic expression (an id, a random number) is never row-wise."""
     df.createOrReplaceTempView(view_name)
     plan = spark.sql("EXPLAIN " + sql.replace(placeholder, f"`{view_name}`")).first()[0]
-    body = plan.split("== Physical Plan ==")[-1]
-    return not any(op in body for op in NON_ROW_WISE)
+    body = plan.split("== Physical Plan ==")[-1].strip()
+    nodes = re.findall(r"^[\s:+|-]*(?:\*\(\d+\)\s*)?(\w+)", body, re.M)
+    query = spark.sql(sql.replace(placeholder, f"`{view_name}`"))
+    return set(nodes) <= ROW_WISE and bool(query._jdf.queryExecution().analyzed().deterministic())

@@ -19,6 +19,12 @@ from tierflow.streaming import ingest, monitor
 from tierflow.streaming.metrics import progress_frame, progress_rows
 
 MONITORING_PROPERTIES = {"delta.enableChangeDataFeed": "true", "delta.autoOptimize.optimizeWrite": "true"}
+MONITORING_COMMENTS = {
+    "trade_changes_summary": "every bronze row of every source, stamped when summarised",
+    "file_ingestion_metrics": "every bronze row of every source, with how it was ingested",
+    "quality_changes_monitoring": "every silver row of every source, stamped when checked",
+}
+KEEP_VERSIONS = 8  # of a full-refresh table, the current one included
 
 
 @dataclass
@@ -68,7 +74,7 @@ def refresh_gold(spark: SparkSession, cfg: SourceConfig, store: TableStore) -> i
     silver = store.read(cfg.clean_table)
     gold = apply_sql_template(spark, silver, cfg.business_logic, cfg.clean_table)
     return store.write_snapshot(cfg.transform_table, gold,
-                                comment=f"Transformed {cfg.name} data with business logic",
+                                comment=f"{cfg.name}: silver rows through the SQL template",
                                 properties=dict(cfg.table_properties), optimize_write=cfg.optimize_write)
 
 
@@ -79,20 +85,21 @@ def refresh_monitoring(store: TableStore, configs: Sequence[SourceConfig], as_of
     if bronze:
         out["trade_changes_summary"] = store.write_snapshot(
             "trade_changes_summary", monitoring.changes_summary(bronze, as_of),
-            comment="Changes across all bronze tables", properties=MONITORING_PROPERTIES)
+            comment=MONITORING_COMMENTS["trade_changes_summary"], properties=MONITORING_PROPERTIES, optimize_write=True)
         out["file_ingestion_metrics"] = store.write_snapshot(
             "file_ingestion_metrics", monitoring.file_metrics(bronze, as_of),
-            comment="File ingestion metrics", properties=MONITORING_PROPERTIES)
+            comment=MONITORING_COMMENTS["file_ingestion_metrics"], properties=MONITORING_PROPERTIES, optimize_write=True)
     if silver:
         out["quality_changes_monitoring"] = store.write_snapshot(
             "quality_changes_monitoring", monitoring.quality_monitoring(silver, as_of),
-            comment="Quality monitoring over all silver tables", properties=MONITORING_PROPERTIES)
+            comment=MONITORING_COMMENTS["quality_changes_monitoring"], properties=MONITORING_PROPERTIES,
+            optimize_write=True)
     return out
 
 
 def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: TableStore, as_of=None,
                only: str | Sequence[str] | None = None, monitoring_tables: bool = True,
-               monitoring_mode: str = "full") -> UpdateResult:
+               monitoring_mode: str = "full", keep_versions: int = KEEP_VERSIONS) -> UpdateResult:
     """Run one update.  Streams of different sources run concurrently; a
     tier starts only after the tier below it is fully drained, so silver never
     reads a half-committed bronze batch.  A failed expectation raises here,
@@ -100,11 +107,13 @@ def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: Tabl
 
     ``monitoring_mode``: "full" recomputes the monitoring tables from all
     rows (the reference's definition); "incremental" appends only the rows of
-    new tier batches, each stamped when processed."""
+    new tier batches, each stamped when processed.
+
+    Full-refresh tables keep their newest ``keep_versions`` versions."""
     chosen = select_sources(configs, only)
     res = UpdateResult()
     for cfg in chosen:
-        store.set_meta(cfg.raw_table, comment=f"Raw ingest of {cfg.name} data", properties=dict(cfg.table_properties))
+        store.set_meta(cfg.raw_table, comment=f"{cfg.name}: landing rows as text, by file", properties=dict(cfg.table_properties))
     res.progress += _drain([ingest.start_bronze(spark, c, store) for c in chosen])
     silver_q = []
     for cfg in chosen:
@@ -113,7 +122,7 @@ def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: Tabl
     full, incremental = [], []
     for cfg in chosen:
         if store.exists(cfg.clean_table):
-            store.set_meta(cfg.clean_table, comment=f"Cleaned data for {cfg.name}",
+            store.set_meta(cfg.clean_table, comment=f"{cfg.name}: typed rows that pass every rule",
                            properties=dict(cfg.table_properties))
             (incremental if gold_is_incremental(spark, cfg, store) else full).append(cfg)
     res.progress += _drain([ingest.start_gold(spark, c, store) for c in incremental])
@@ -122,8 +131,12 @@ def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: Tabl
     if monitoring_tables and monitoring_mode == "full":
         res.monitoring_versions = refresh_monitoring(store, configs, as_of)
     elif monitoring_tables and monitoring_mode == "incremental":
+        for table, comment in MONITORING_COMMENTS.items():  # before the streams that share the tables
+            store.set_meta(table, comment=comment, properties=dict(MONITORING_PROPERTIES))
         res.progress += _drain([monitor.start_monitor(spark, c, store, t, as_of)
                                 for c in chosen for t in monitor.MONITORS])
     elif monitoring_tables:
         raise ValueError("monitoring_mode must be 'full' or 'incremental'")
+    for table in [*res.gold_versions, *res.monitoring_versions]:
+        store.expire_versions(table, keep_versions)
     return res

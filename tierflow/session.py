@@ -54,6 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
     if root:
         return root
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = tempfile.mkdtemp(prefix="tierflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     try:
         spark.sparkContext.setCheckpointDir(root)

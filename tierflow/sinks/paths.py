@@ -8,6 +8,8 @@ pyarrow filesystems are used (local, S3, GCS, HDFS)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyarrow import fs as pafs
 
 
@@ -82,14 +84,16 @@ def total_size(uri: str) -> int:
 
 
 def write_text(uri: str, text: str) -> None:
-    """Write a small file; readers see the old or the new content, never a part."""
+    """Replace a small file by way of a temporary one with a name of its own.
+    Readers never see a part of the content; one that does not hold the table's
+    metadata lock may find no file for a moment."""
     h = _hadoop(uri)
     if h:
         return _hadoop_write(uri, text)
     f, p = _split(uri)
     parent = p.rsplit("/", 1)[0]
     f.create_dir(parent, recursive=True)
-    tmp = p + ".tmp"
+    tmp = f"{p}.{uuid.uuid4().hex}.tmp"
     with f.open_output_stream(tmp) as out:
         out.write(text.encode("utf-8"))
     f.move(tmp, p)
@@ -97,7 +101,7 @@ def write_text(uri: str, text: str) -> None:
 
 def _hadoop_write(uri: str, text: str) -> None:
     fs, path = _hadoop(uri)
-    _, tmp = _hadoop(uri + ".tmp")
+    _, tmp = _hadoop(f"{uri}.{uuid.uuid4().hex}.tmp")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))

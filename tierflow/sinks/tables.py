@@ -6,7 +6,7 @@
   duplicating rows; readers see the partition column ``batch_id``.
 * Full-refresh tables (gold, monitoring): every refresh writes a NEW
   directory ``<table>/version=<n>/``; the current version is the highest one
-  whose write committed (Spark's ``_SUCCESS`` file), so readers of the previous
+  whose write committed (recorded in the table's metadata), so readers of the previous
   version are never disturbed, a failed refresh is simply skipped, and the
   change feed can diff two versions.
 Comment and properties are kept in ``<table>/_table.json``.
@@ -16,14 +16,19 @@ from __future__ import annotations
 
 import json
 import math
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.config import MAX_FILE_AGE
 from tierflow.sinks import paths
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+# Streams of one driver run as threads and may append to one table: a table's
+# metadata is read, changed and written under this lock.
+_META = threading.RLock()
 
 
 class TableStore:
@@ -38,13 +43,16 @@ class TableStore:
         return f"{self.root}/{db}{name}"
 
     def meta(self, name: str) -> dict:
-        text = paths.read_text(f"{self.path(name)}/_table.json")
+        with _META:
+            text = paths.read_text(f"{self.path(name)}/_table.json")
         return json.loads(text) if text else {}
 
     def set_meta(self, name: str, **kv) -> None:
-        m = self.meta(name)
-        m.update({k: v for k, v in kv.items() if v is not None})
-        paths.write_text(f"{self.path(name)}/_table.json", json.dumps(m, sort_keys=True))
+        with _META:
+            old = self.meta(name)
+            m = {**old, **{k: v for k, v in kv.items() if v is not None}}
+            if m != old:
+                paths.write_text(f"{self.path(name)}/_table.json", json.dumps(m, sort_keys=True))
 
     def exists(self, name: str) -> bool:
         return paths.exists(self.path(name))
@@ -59,14 +67,13 @@ class TableStore:
             df = df.hint("rebalance")
         prefix = f"{partition[0]}={partition[1]}/" if partition else ""
         df.write.mode("overwrite").parquet(f"{self.path(name)}/{prefix}batch_id={int(batch_id)}")
-        if partition and self.meta(name).get("partition") != partition[0]:
-            self.set_meta(name, partition=partition[0])
-        old = self.stored_schema(name)
-        schema = df.schema
-        if old is not None:  # additive: keep every column ever written, in first-seen order
-            known = set(old.fieldNames())
-            schema = T.StructType(list(old.fields) + [f for f in df.schema.fields if f.name not in known])
-        self.set_meta(name, kind="append", schema=schema.json())
+        with _META:
+            old = self.stored_schema(name)
+            schema = df.schema
+            if old is not None:  # additive: keep every column ever written, in first-seen order
+                known = set(old.fieldNames())
+                schema = T.StructType(list(old.fields) + [f for f in df.schema.fields if f.name not in known])
+            self.set_meta(name, kind="append", schema=schema.json(), partition=partition[0] if partition else None)
 
     def batches(self, name: str) -> list[int]:
         top = paths.list_dirs(self.path(name))
@@ -106,7 +113,7 @@ class TableStore:
         if schema is None:
             raise FileNotFoundError(f"table {name} has no schema yet")
         full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType(), True)])
-        r = self.spark.readStream.schema(full)
+        r = self.spark.readStream.schema(full).option("maxFileAge", MAX_FILE_AGE)
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
         return r.parquet(self.path(name))
@@ -116,6 +123,11 @@ class TableStore:
         return sorted(int(d.split("=", 1)[1]) for d in paths.list_dirs(self.path(name)) if d.startswith("version="))
 
     def latest_version(self, name: str) -> int | None:
+        """The version recorded after its write committed; for tables without
+        that record, the highest one with Spark's marker file."""
+        current = self.meta(name).get("current")
+        if current is not None:
+            return int(current)
         for v in reversed(self.versions(name)):
             if paths.exists(f"{self.path(name)}/version={v}/_SUCCESS"):
                 return v
@@ -129,10 +141,20 @@ class TableStore:
         if optimize_write:
             df = df.hint("rebalance")
         df.write.mode("errorifexists").parquet(f"{self.path(name)}/version={version}")
-        self.set_meta(name, kind="snapshot", schema=df.schema.json(), comment=comment,
+        self.set_meta(name, kind="snapshot", schema=df.schema.json(), comment=comment, current=version,
                       properties=dict(properties) if properties else None)
         return version
 
+    def expire_versions(self, name: str, keep: int) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions (and failed writes
+        below the current one); returns the versions that went.  Readers of an
+        older version must have finished."""
+        current = self.latest_version(name)
+        old = [v for v in self.versions(name) if current is not None and v < current][: None if keep <= 1 else -(keep - 1)]
+        for v in old:
+            paths.delete_dir(f"{self.path(name)}/version={v}")
+        return old
+
     def read_version(self, name: str, version: int | None = None) -> DataFrame:
         v = version if version is not None else self.latest_version(name)
         if v is None:

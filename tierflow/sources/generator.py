@@ -9,11 +9,12 @@ recomputed after an executor loss regenerates exactly the same rows.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.config import MARKET_CENTERS, SYMBOL_PRICE_RANGES, TRADE_EXCHANGES, TRADE_TYPES
+from tierflow.config import MARKET_CENTERS, TRADE_EXCHANGES, TRADE_TYPES
 from tierflow.functions.exprs import pick, unit_hash
 
 # Fixed generation sizes of the reference job.
@@ -26,12 +27,12 @@ ROWS_PER_PARTITION = 2_000_000
 def generate_trades(spark: SparkSession, exchange: str, rows: int = DEFAULT_ROWS,
                     start: dt.datetime | None = None, end: dt.datetime | None = None,
                     seed: int = 0, partitions: int | None = None,
-                    symbols: list[str] | None = None, price_ranges: bool = False) -> DataFrame:
+                    symbols: list[str] | None = None,
+                    price_ranges: Mapping[str, tuple[float, float]] | None = None) -> DataFrame:
     """Trades for one exchange over [start, end).
 
-    Prices are uniform in 10..1010 (rounded to cents); with ``price_ranges``
-    each symbol's configured range is used instead (symbols without one keep
-    the uniform range).  Partitions default to the reference's 4, growing
+    Prices are uniform in 10..1010 (rounded to cents); ``price_ranges`` gives
+    symbols another range (the others keep the uniform one).  Partitions default to the reference's 4, growing
     with ``rows`` so no task generates more than ~2M rows; values do not
     depend on the partitioning."""
     if partitions is None:
@@ -49,7 +50,7 @@ def generate_trades(spark: SparkSession, exchange: str, rows: int = DEFAULT_ROWS
     uniform = F.round(u("price") * 1000 + 10, 2)
     price = uniform
     if price_ranges:
-        ranged = [(sym, SYMBOL_PRICE_RANGES[sym]) for sym in syms if sym in SYMBOL_PRICE_RANGES]
+        ranged = [(sym, price_ranges[sym]) for sym in syms if sym in price_ranges]
         if ranged:
             sym_col = pick(syms, u("symbol"))
             price = None
@@ -102,6 +103,7 @@ def generate_landing(spark: SparkSession, landing_root: str, rows_per_exchange:
     exchanges = list(TRADE_EXCHANGES) if exchange_filter == "all" else [exchange_filter]
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     start = now - dt.timedelta(hours=1)
+    seed = seed * 1000 + int(now.replace(tzinfo=dt.timezone.utc).timestamp())  # another run, other trades
     results = []
     for i, ex in enumerate(exchanges):
         kinds = [k for k in ("initial", "incremental") if data_type in (k, "both")]

@@ -11,17 +11,22 @@ in Spark tasks.
 
 from __future__ import annotations
 
+import bz2
 import csv
 import io
 import json
+import sys
+import zlib
 from collections import OrderedDict
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.config import MAX_FILE_AGE
 from tierflow.functions.schema import RESCUED, string_schema
 from tierflow.operators.transforms import union_tier
 from tierflow.sinks import paths
@@ -34,23 +39,46 @@ LISTING_SCHEMA = T.StructType([
 ])
 
 
+# tasks read file heads with this module's functions: ship them along, so that
+# the workers need not find the package in their own working directory
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(paths)
+
+HEADER_LIMIT = 1 << 24  # bytes in which a file's header must end
+
+
 def parse_header(head: bytes) -> list[str]:
-    """First CSV record of a file (quotes, embedded commas handled)."""
+    """First CSV record of a file (quotes, embedded commas handled); blank lines
+    before it are skipped, as Spark's reader does."""
     text = head.decode("utf-8-sig", errors="replace")
-    for row in csv.reader(io.StringIO(text)):
+    for row in csv.reader(io.StringIO(text.lstrip("\r\n\t "))):
         return [c.strip() for c in row]
     return []
 
 
-def _file_header(uri: str, limit: int = 1 << 24) -> list[str]:
+def _plain(uri: str, head: bytes) -> bytes:
+    """The beginning of a file's text, unpacked by its suffix as Spark does."""
+    name = uri.lower()
+    if name.endswith(".gz"):
+        return zlib.decompressobj(wbits=31).decompress(head)
+    if name.endswith(".bz2"):
+        return bz2.BZ2Decompressor().decompress(head)
+    return head
+
+
+def _file_header(uri: str, limit: int = HEADER_LIMIT) -> list[str]:
+    """Header of a file; empty if it has no text but white space.  A header that
+    does not end within ``limit`` bytes is an error, never cut off."""
     n = 1 << 16
     while True:
-        head = paths.read_head(uri, n)
-        complete = b"\n" in head or len(head) < n or n >= limit
-        if complete:
-            if b"\n" in head:
-                head = head[: head.index(b"\n") + 1]
+        raw = paths.read_head(uri, n)
+        head = _plain(uri, raw).removeprefix(b"\xef\xbb\xbf").lstrip(b"\r\n\t ")
+        if b"\n" in head:
+            return parse_header(head[: head.index(b"\n") + 1])
+        if len(raw) < n:
             return parse_header(head)
+        if n >= limit:
+            raise ValueError(f"{uri}: the header does not end within {limit} bytes")
         n *= 4
 
 
@@ -68,13 +96,8 @@ def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, list[st
 
     df = spark.createDataFrame([(p,) for p in files], "path string")
     df = df.repartition(max(1, min(len(files), spark.sparkContext.defaultParallelism)))
-    try:
-        rows = df.mapInPandas(heads, "path string, header string").collect()
-        return {r.path: json.loads(r.header) for r in rows}
-    except Exception:  # noqa: BLE001 - e.g. a scheme pyarrow cannot open inside tasks
-        # same few bytes per file, read on the driver through the cluster's
-        # Hadoop FileSystem; the list is bounded by the per-trigger file cap
-        return {f: _file_header(f) for f in files}
+    rows = df.mapInPandas(heads, "path string, header string").collect()
+    return {r.path: json.loads(r.header) for r in rows}
 
 
 def _dedupe(names: list[str]) -> list[str]:
@@ -131,11 +154,11 @@ def read_landing(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def stream_landing(spark: SparkSession, glob: str, schema: T.StructType | Sequence[str],
-                   max_files_per_trigger: int | None = None) -> DataFrame:
+                   max_files_per_trigger: int | None = None, max_file_age: str = MAX_FILE_AGE) -> DataFrame:
     """Plain streaming CSV scan; a file stream needs its schema up front."""
     if not isinstance(schema, T.StructType):
         schema = string_schema(schema)
-    r = spark.readStream.schema(schema).option("header", True)
+    r = spark.readStream.schema(schema).option("header", True).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return r.csv(glob).withColumn("source_file", F.col("_metadata.file_path"))

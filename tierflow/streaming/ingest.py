@@ -53,7 +53,8 @@ def save_schema(cfg: SourceConfig, columns: list[str]) -> None:
 
 def listing_stream(spark: SparkSession, cfg: SourceConfig):
     r = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
-         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+         .option("recursiveFileLookup", True).option("pathGlobFilter", cfg.file_pattern)
+         .option("maxFileAge", cfg.max_file_age)
          .option("maxFilesPerTrigger", int(cfg.max_files_per_trigger)))
     if cfg.clean_source != "off":
         r = r.option("cleanSource", cfg.clean_source)
@@ -108,7 +109,15 @@ def silver_batch_writer(spark: SparkSession, cfg: SourceConfig, store: TableStor
                                  *[F.count_if(primary & ~ok).alias(f"violations_{n}") for n, ok in checks])
         out = observed.filter(cfg.primary_filter).withColumn("processing_timestamp", as_of_column(as_of))
         out = expect_all_or_fail(out, cfg.quality_rules, label=cfg.clean_table)
-        store.append_batch(cfg.clean_table, out, batch_id, optimize_write=cfg.optimize_write)
+        try:
+            store.append_batch(cfg.clean_table, out, batch_id, optimize_write=cfg.optimize_write)
+        except Exception:
+            # the batch is not written; what it violates is: counted in one pass over it
+            counts = typed.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(primary).alias("rows_selected"),
+                               *[F.count_if(primary & ~ok).alias(f"violations_{n}") for n, ok in checks]).first().asDict()
+            if any(v for k, v in counts.items() if k.startswith("violations_")):
+                record_batch_quality(spark, store, cfg, batch_id, counts)
+            raise
         m = obs.get
         if m.get("rows_in", 0):
             record_batch_quality(spark, store, cfg, batch_id, m)
@@ -150,7 +159,7 @@ def start_gold(spark: SparkSession, cfg: SourceConfig, store: TableStore,
         gold = apply_sql_template(df.sparkSession, df.drop("batch_id"), cfg.business_logic, view)
         store.append_batch(cfg.transform_table, gold, batch_id, optimize_write=cfg.optimize_write)
 
-    store.set_meta(cfg.transform_table, comment=f"Transformed {cfg.name} data with business logic",
+    store.set_meta(cfg.transform_table, comment=f"{cfg.name}: silver rows through the SQL template",
                    properties=dict(cfg.table_properties))
     src = store.stream_append(cfg.clean_table, cfg.tier_max_files_per_trigger)
     w = (src.writeStream.queryName(f"gold_{cfg.name}")
