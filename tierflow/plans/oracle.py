@@ -25,14 +25,19 @@ def silver(exchange: str) -> str:
     return with_trades(_silver_body(exchange), clean=True)
 
 
-def gold(exchange: str, bucket: bool = False) -> str:
-    extra = (", CASE WHEN price > 100 THEN 'HIGH' WHEN price > 50 THEN 'MEDIUM' ELSE 'LOW' END AS price_volatility"
-             if bucket else "")
-    body = (f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value{extra} "
+def gold(exchange: str) -> str:
+    body = ("SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value "
             f"FROM ({_silver_body(exchange)}) s")
     return with_trades(body, clean=True)
 
 
+def gold_price_bucket() -> str:
+    body = " UNION ALL ".join(
+        "(SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value, CASE WHEN price > 100 THEN 'HIGH' "
+        f"WHEN price > 50 THEN 'MEDIUM' ELSE 'LOW' END AS price_volatility FROM ({_silver_body(ex)}) s)" for ex in EXCHANGES)
+    return with_trades(body, clean=True)
+
+
 def _bronze_union() -> str:
     return ", bronze AS (" + " UNION ALL ".join(f"({bronze_sql(ex)})" for ex in EXCHANGES) + ")"
 
@@ -157,7 +162,7 @@ BATCH_ORACLES = {
     "gold_nyse": gold("NYSE"),
     "gold_nasdaq": gold("NASDAQ"),
     "gold_lse": gold("LSE"),
-    "gold_price_bucket": gold("NYSE", bucket=True),
+    "gold_price_bucket": gold_price_bucket(),
     "changes_summary": changes_summary(),
     "quality_monitoring": quality_monitoring(),
     "file_metrics": file_metrics(),

@@ -32,6 +32,7 @@ class UpdateResult:
     progress: list = field(default_factory=list)
     gold_versions: dict = field(default_factory=dict)
     monitoring_versions: dict = field(default_factory=dict)
+    last_batches: dict = field(default_factory=dict)  # of each silver table, after the update
 
     def progress_frame(self, spark: SparkSession) -> DataFrame:
         return progress_frame(spark, self.progress)
@@ -119,6 +120,7 @@ def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: Tabl
     for cfg in chosen:
         silver_q.append(ingest.start_silver(spark, cfg, store, as_of))
     res.progress += _drain(silver_q)
+    res.last_batches = {c.clean_table: b[-1] for c in chosen if (b := store.batches(c.clean_table))}
     full, incremental = [], []
     for cfg in chosen:
         if store.exists(cfg.clean_table):

@@ -54,7 +54,7 @@ def q_gold(exchange):
 
 
 def q_gold_price_bucket(spark, sf_dir):
-    return gold(spark, sf_dir, "NYSE", PRICE_BUCKET_SQL)
+    return union_tier([gold(spark, sf_dir, ex, PRICE_BUCKET_SQL) for ex in EXCHANGES])
 
 
 def q_changes_summary(spark, sf_dir):

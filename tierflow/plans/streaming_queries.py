@@ -118,10 +118,15 @@ def q_stream_quality_metrics(spark, sf_dir):
 
 
 def q_stream_compact(spark, sf_dir):
+    """Every gold table, rewritten into files of about 1 MiB in a store of its own
+    (other plans read the tables of the run)."""
     store, configs, _, _ = pipeline_run(spark, sf_dir)
-    name = configs[0].transform_table
-    compact_table(store, name, target_bytes=1 << 20)
-    return store.read(name).select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"))
+    side = TableStore(spark, f"{work_dir(spark, 'compact')}/tables")
+    for c in configs:
+        side.write_snapshot(c.transform_table, store.read(c.transform_table))
+        compact_table(side, c.transform_table, target_bytes=1 << 20)
+    g = union_tier([side.read(c.transform_table) for c in configs])
+    return g.select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"))
 
 
 def q_stream_incremental_gold(spark, sf_dir):
@@ -138,22 +143,25 @@ def q_stream_incremental_monitoring(spark, sf_dir):
 
 
 def q_stream_change_feed(spark, sf_dir):
-    """Rows that changed in gold_nyse_trades between the two updates."""
+    """Rows that changed in the gold tables between the two updates."""
     store, configs, results, _ = pipeline_run(spark, sf_dir)
-    name = configs[0].transform_table
-    v1, v2 = (r.gold_versions[name] for r in results)
-    feed = changefeed.change_feed(store.read_version(name, v1), store.read_version(name, v2), to_version=v2)
+    feeds = []
+    for c in configs:
+        v1, v2 = (r.gold_versions[c.transform_table] for r in results)
+        feeds.append(changefeed.change_feed(store.read_version(c.transform_table, v1),
+                                            store.read_version(c.transform_table, v2), to_version=v2))
+    feed = union_tier(feeds)
     return feed.select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"), "_change_type",
                        "_commit_version")
 
 
 def q_stream_append_changes(spark, sf_dir):
-    """Rows appended to silver_nyse_trades by the second update."""
-    store, configs, _, _ = pipeline_run(spark, sf_dir)
-    name = configs[0].clean_table
-    batches = store.batches(name)
-    feed = changefeed.append_changes(store.read_append(name), batches[0], batches[-1])
-    return feed.select(*SILVER_OUT, "_change_type", "_commit_version")
+    """Rows appended to the silver tables by the second update: those of the
+    batches after the last one of the first update."""
+    store, configs, results, _ = pipeline_run(spark, sf_dir)
+    feed = union_tier([changefeed.append_changes(store.read_append(c.clean_table), *[r.last_batches[c.clean_table]
+                                                                                   for r in results]) for c in configs])
+    return feed.select(*SILVER_OUT, "_change_type")
 
 
 def q_stream_landing_files(spark, sf_dir):
@@ -227,17 +235,16 @@ STREAM_ORACLES = {
     "stream_quality_metrics": _w("SELECT lower(exchange) || '_trades' AS source, 'valid_trade' AS rule, "
                                  "CAST(count(*) AS BIGINT) AS rows_in, CAST(count(*) AS BIGINT) AS rows_selected, "
                                  "CAST(0 AS BIGINT) AS violations FROM trades GROUP BY exchange"),
-    "stream_compact": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s "
-                         "WHERE exchange = 'NYSE'"),
+    "stream_compact": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s"),
     "stream_landing_files": _w(_landing_bytes_sql()),
     "stream_incremental_gold": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s"),
     "stream_incremental_monitoring": _w(f"SELECT *, {AS_OF_SQL} AS quality_check_timestamp, 'silver' AS quality_layer, "
                                         f"true AS change_detected, 'streaming' AS processing_method FROM ({_SILVER_SQL}) s"),
     "stream_change_feed": _w(f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value, "
                              "'insert' AS _change_type, 2 AS _commit_version "
-                             f"FROM ({_SILVER_SQL}) s WHERE exchange = 'NYSE' AND timestamp >= TIMESTAMP '{DROP_CUTOFF}'"),
-    "stream_append_changes": _w("SELECT *, 'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version "
-                                f"FROM ({_SILVER_SQL}) s WHERE exchange = 'NYSE' AND timestamp >= TIMESTAMP '{DROP_CUTOFF}'"),
+                             f"FROM ({_SILVER_SQL}) s WHERE timestamp >= TIMESTAMP '{DROP_CUTOFF}'"),
+    "stream_append_changes": _w("SELECT *, 'insert' AS _change_type "
+                                f"FROM ({_SILVER_SQL}) s WHERE timestamp >= TIMESTAMP '{DROP_CUTOFF}'"),
     "stream_time_windows": ("SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR "
                             "AS window_end, event_type, count(*) AS events, "
                             "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_value "
