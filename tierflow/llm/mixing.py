@@ -29,6 +29,7 @@ WEIGHTS = (5, 2, 1)  # by order of the sources, repeating
 BUDGET = 1.5  # words to take, in sizes of the whole input
 MAX_EPOCHS = 2.0
 SEED = 17
+MAX_BROADCAST = 10_000  # sources: 16 rows of some 100 bytes each, 16 MB
 RANGE_DIGITS = 3  # hex digits of a key that name its range: 4,096 ranges in a source
 
 
@@ -104,9 +105,13 @@ def _salt(key: Column) -> Column:
 
 
 def _salted(plan: DataFrame) -> DataFrame:
-    """Each source once for each salt, so that a join on source and salt deals
-    a source with a third of all rows to several tasks."""
-    return plan.withColumn("__mix_salt", F.explode(F.array(*[F.lit(x) for x in "0123456789abcdef"])))
+    """Each source once for each salt.  Up to ``MAX_BROADCAST`` sources are
+    broadcast; beyond that, a join on source and salt deals a source with a third
+    of all rows to several tasks."""
+    plan = cut(plan)
+    few = plan.count() <= MAX_BROADCAST
+    plan = plan.withColumn("__mix_salt", F.explode(F.array(*[F.lit(x) for x in "0123456789abcdef"])))
+    return F.broadcast(plan) if few else plan
 
 
 def _copies() -> Column:
@@ -128,7 +133,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     agree: the order depends on the ids and the seed alone.  An empty table
     gives an empty result; other columns of the input are ignored."""
     sized = cut(_sized(docs, id_col, text_col, source_col, seed))  # read three times, without the texts
-    plan = _salted(mix_plan(sized, weights, budget, max_epochs)).withColumnRenamed("source", "__mix_s")
+    plan = _salted(mix_plan(sized, weights, budget, max_epochs).withColumnRenamed("source", "__mix_s"))
     on = F.col("source").eqNullSafe(F.col("__mix_s")) & (_salt(F.col("key")) == F.col("__mix_salt"))
     out = sized.join(plan, on, "left").withColumn("copies", _copies())
     return out.select("doc_id", "source", "size", "source_size", "target", "copies",
@@ -139,11 +144,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, max_epochs: float = MAX_EPOCHS,
                     seed: int = SEED) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as the mix takes it.
-    Texts are not shuffled: they only meet the small table of sources."""
+    Texts meet only the table of sources; they are shuffled only if that is too
+    large to broadcast."""
     sized = cut(_sized(docs, id_col, text_col, source_col, seed))
-    plan = _salted(mix_plan(sized, weights, budget, max_epochs)).select(
-        F.col("source").alias("__mix_s"), F.col("whole").alias("__mix_whole"), F.col("last_key").alias("__mix_last"),
-        "__mix_salt")
+    plan = _salted(mix_plan(sized, weights, budget, max_epochs).select(
+        F.col("source").alias("__mix_s"), F.col("whole").alias("__mix_whole"), F.col("last_key").alias("__mix_last")))
     source = F.col(f"`{source_col}`")
     has_word = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(WORD)
     more = has_word & (_seeded(F.col(f"`{id_col}`"), seed) <= F.col("__mix_last"))
