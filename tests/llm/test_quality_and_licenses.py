@@ -66,3 +66,17 @@ def test_bands_find_every_window_at_the_threshold():
         assert stride >= 1 and size >= n + stride - 1
         least = -(-3 * n // 4)
         assert n < 4 or least / (size + n - least) >= 0.4
+
+
+def test_reserved_rights_and_further_notices_are_found(spark):
+    notices = {
+        "All-rights-reserved": "All rights reserved.",
+        "MPL-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy "
+                          "of the MPL was not distributed with this file, You can obtain one at the site.",
+        "ISC-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+                      "fee is hereby granted, provided that"}
+    rng = random.Random(3)
+    docs = [(i, f"{prose(rng, 40)}\n{n}\n{prose(rng, 40)}") for i, n in enumerate(notices.values())] + [
+        (100, prose(rng, 80)), (102, "All rights are reserved")]
+    rows = ls.scan(spark, spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.license) for r in rows} == set(enumerate(notices))
