@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tierflow.llm import (decontamination, license_scan, mixing, ngram_join, passage_chains, ppm, quality_rules,
-                           sharding, toxicity, url_filter)
+from tierflow.llm import (decontamination, hard_negatives, license_scan, mixing, ngram_join, passage_chains, ppm,
+                           quality_rules, secret_scan, sharding, toxicity, url_filter, whitening)
 
 MODULES = (ngram_join, quality_rules, decontamination, ppm, sharding, url_filter, toxicity, passage_chains, mixing,
-           license_scan)
+           license_scan, secret_scan, whitening, hard_negatives)
 
 
 def queries() -> dict[str, Callable]:
