@@ -52,7 +52,6 @@ def release() -> None:
             delete_dir(path)
         except Exception as e:  # noqa: BLE001 - the session may have ended first
             sys.stderr.write(f"left {path}: {type(e).__name__}\n")
-            return
 
 
 def words(text: Column) -> Column:

@@ -320,10 +320,13 @@ def _hot_index(hot, h):
 def text_scores(docs: DataFrame, model: Model, order: int = ORDER) -> DataFrame:
     """``docs(id, text, train)`` -> per row: ``id, train, text_key, n_tokens,
     hot_known, hot_sum`` (of the frequent words and the end) and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays: tasks that cannot import this module could not load the classes
+    shared = docs.sparkSession.sparkContext.broadcast({**vars(model), "trie": vars(model.trie)})
 
     def run(batches):
-        m = shared.value
+        m, trie = Model.__new__(Model), Trie.__new__(Trie)
+        m.__dict__, trie.__dict__ = dict(shared.value), shared.value["trie"]
+        m.trie = trie
         logs = np.log10(m.hot_counts + 0.1)
         end_log = math.log10(m.texts + 0.1)
         for batch in batches:

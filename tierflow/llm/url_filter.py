@@ -140,11 +140,12 @@ def _fill(keys: DataFrame, number: int, m: int, k: int) -> Level:
 
 
 def _passed(keys: DataFrame, level: Level) -> DataFrame:
-    shared = keys.sparkSession.sparkContext.broadcast(level)
+    shared = keys.sparkSession.sparkContext.broadcast(vars(level))  # plain arrays, as the tasks cannot import the class
 
     def run(batches):
+        here = Level(**shared.value)
         for batch in batches:
-            keep = shared.value.holds(np.asarray(batch.column(0)), np.asarray(batch.column(1)))
+            keep = here.holds(np.asarray(batch.column(0)), np.asarray(batch.column(1)))
             yield batch.filter(pa.array(keep))
 
     return cut(keys.select("h1", "h2").mapInArrow(run, "h1 long, h2 long"))
@@ -197,14 +198,15 @@ def judge(spark: SparkSession, pages: DataFrame, listed_keys: DataFrame, rules:
 
 
 def _judge_by_cascade(spark: SparkSession, src: DataFrame, keys: Column, levels: list) -> DataFrame:
-    shared = spark.sparkContext.broadcast(levels)  # max_bytes at most
+    shared = spark.sparkContext.broadcast([vars(level) for level in levels])  # max_bytes at most
     wide = src.withColumn("__keys", keys)
 
     def run(batches):
+        cascade = [Level(**v) for v in shared.value]
         for batch in batches:
             col = batch.column(batch.num_columns - 1)
             flat, counts = col.flatten(), np.diff(np.asarray(col.offsets))
-            hit = listed(shared.value, np.asarray(flat.field("h1")), np.asarray(flat.field("h2")))
+            hit = listed(cascade, np.asarray(flat.field("h1")), np.asarray(flat.field("h2")))
             row = np.repeat(np.arange(len(counts)), counts)
             any_hit = np.bincount(row, weights=hit, minlength=len(counts)) > 0
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(any_hit)],

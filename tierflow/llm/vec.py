@@ -8,13 +8,15 @@ the same words get the same hash on every executor and in every rerun.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 
-from tierflow.llm.common import by_value
-
-by_value(__name__)
+# by value, like ``common.by_value``; a name of another module here would have to be imported by the tasks
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 1 << 20  # bytes of text worked on at once
 
@@ -42,22 +44,19 @@ def space_table():
     return t
 
 
-_POWERS: dict = {}
 _BASE = 0xD1342543DE82EF95  # odd, so it has an inverse modulo 2**64
 
 
 def powers(n: int):
-    """(base**i, base**-i) modulo 2**64 for i < n, kept between calls."""
-    have = _POWERS.get("n", 0)
-    if have < n:
-        size = max(n, CHUNK + 4096)
-        inverse = pow(_BASE, -1, 1 << 64)
-        for name, b in (("up", _BASE), ("down", inverse)):
-            a = np.full(size, b, dtype=np.uint64)
-            a[0] = 1
-            _POWERS[name] = np.multiply.accumulate(a)
-        _POWERS["n"] = size
-    return _POWERS["up"], _POWERS["down"]
+    """(base**i, base**-i) modulo 2**64 for i < n.  Nothing is kept: this module
+    travels with the tasks, and what it holds would stay until a worker collects
+    its garbage."""
+    out = []
+    for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+        a = np.full(n, b, dtype=np.uint64)
+        a[:1] = 1
+        out.append(np.multiply.accumulate(a))
+    return out[0], out[1]
 
 
 def utf8(column) -> tuple:
