@@ -117,7 +117,8 @@ def test_archive_clean_source(spark, tmp):
 
 def test_config_validation_and_selection(tmp):
     with pytest.raises(ValueError):
-        cfg_for(tmp, clean_source="archive")
+        cfg_for(tmp, clean_source="keep")
+    assert cfg_for(tmp).clean_source == "archive" and cfg_for(tmp).archive_path == f"{tmp}/landing/nyse/bronze_archive"
     cfgs = default_sources(f"{tmp}/l", f"{tmp}/s")
     assert [c.primary_filter for c in cfgs] == ["exchange = 'NYSE'", "exchange = 'NASDAQ'", "exchange = 'LSE'"]
     assert [c.name for c in select_sources(cfgs, "nasdaq")] == ["nasdaq_trades"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -46,7 +47,8 @@ def conform(df: DataFrame, types: Mapping[str, str] | None = None, rescued_col:
 
     Text that does not fit its declared type becomes NULL in the typed column
     and is kept verbatim in the rescued JSON column, merged with whatever was
-    already rescued at ingest.  Column order is preserved; undeclared columns
+    already rescued at ingest.  Text with more decimal places than its type is
+    rounded (half up) in the typed column, and kept verbatim there too.  Column order is preserved; undeclared columns
     stay as they are.  Only plain expressions are used (no lambdas), so the
     projection stays inside whole-stage code generation, and the JSON is
     built only for rows that actually have a value that does not fit."""
@@ -56,8 +58,13 @@ def conform(df: DataFrame, types: Mapping[str, str] | None = None, rescued_col:
         return df
     typed = {c: f"try_cast({_q(c)} AS {types[c]})" for c in present}
     bad = {c: f"({_q(c)} IS NOT NULL AND {typed[c]} IS NULL)" for c in present}
-    any_bad = " OR ".join(bad.values())
-    fields = ", ".join(f"CASE WHEN {bad[c]} THEN cast({_q(c)} AS string) END AS {_q(c)}" for c in present)
+    for c, kind in df.dtypes:
+        fine = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", types[c]) if c in present and kind == "string" else None
+        if fine:  # a cast that rounds: compare with the most places that leave room for the whole digits
+            wide = f"try_cast({_q(c)} AS decimal(38,{38 - int(fine[1]) + int(fine[2])}))"
+            bad[c] = f"({bad[c]} OR {wide} <> {typed[c]})"
+    any_bad = " OR ".join(f"coalesce({b}, false)" for b in bad.values())
+    fields = ", ".join(f"CASE WHEN coalesce({bad[c]}, false) THEN cast({_q(c)} AS string) END AS {_q(c)}" for c in present)
     new_json = f"CASE WHEN {any_bad} THEN to_json(struct({fields})) END"
     old = _q(rescued_col) if rescued_col in df.columns else "cast(NULL AS string)"
     rescued = f"{merge_json_sql(old, f'({new_json})')} AS {_q(rescued_col)}"

@@ -27,11 +27,17 @@ def _align(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame, list[s
     return fill(old, new), fill(new, old), cols
 
 
-def change_feed(old: DataFrame, new: DataFrame, to_version: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def net_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Each distinct row whose count differs, with ``_net``: copies gained or lost."""
     old, new, cols = _align(old, new)
     qcols = [F.col(f"`{c}`") for c in cols]
     both = old.select(*qcols, F.lit(-1).alias("_d")).unionByName(new.select(*qcols, F.lit(1).alias("_d")))
-    net = both.groupBy(*qcols).agg(F.sum("_d").alias("_net")).filter(F.col("_net") != 0)
+    return both.groupBy(*qcols).agg(F.sum("_d").alias("_net")).filter(F.col("_net") != 0)
+
+
+def change_feed(old: DataFrame, new: DataFrame, to_version: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    net = net_changes(old, new)
+    qcols = [F.col(f"`{c}`") for c in net.columns if c != "_net"]
     n = F.abs(F.col("_net"))
     chunks = net.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk_rows).cast("bigint"))))
     chunks = chunks.repartition(F.col("_chunk"), *qcols)

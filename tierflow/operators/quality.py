@@ -81,8 +81,13 @@ def rule_compliance(df: DataFrame, rules: Mapping[str, object], by: Sequence[str
     checks = rule_columns(rules)
     wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"),
                                *[F.count_if(ok).alias(f"_p{i}") for i, (_, ok) in enumerate(checks)])
+    return compliance_of(wide, [name for name, _ in checks], by)
+
+
+def compliance_of(wide: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Long form of ``rows, _p0, _p1 ...``: passed rows by rule."""
     entries = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"_p{i}").alias("passed"))
-                        for i, (name, _) in enumerate(checks)])
+                        for i, name in enumerate(names)])
     long = wide.select(*by, "rows", F.inline(entries))
     return long.select(*by, "rule", "rows", "passed",
                        (F.col("rows") - F.col("passed")).alias("failed"),
@@ -94,8 +99,13 @@ def completeness(df: DataFrame, by: Sequence[str] = ("exchange",), columns: Sequ
     cols = [c for c in (columns or df.columns) if c not in by]
     wide = df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"),
                                *[F.count(F.col(f"`{c}`")).alias(f"_n{i}") for i, c in enumerate(cols)])
+    return completeness_of(wide, cols, by)
+
+
+def completeness_of(wide: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Long form of ``rows, _n0, _n1 ...``: values that are not null, by column."""
     entries = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("non_null"))
-                        for i, c in enumerate(cols)])
+                        for i, c in enumerate(columns)])
     long = wide.select(*by, "rows", F.inline(entries))
     nulls = F.col("rows") - F.col("non_null")
     return long.select(*by, "column_name", "rows", nulls.alias("nulls"), _ratio(nulls, F.col("rows")).alias("null_rate"))

@@ -27,9 +27,14 @@ def file_rollup(df: DataFrame, by: Sequence[str] = ("exchange", "source_file"),
     return out.withColumn("rollup_timestamp", as_of_column(as_of))
 
 
-def change_rollup(changes: DataFrame, by: Sequence[str] = ("exchange",)) -> DataFrame:
-    """Rows per group, change type and change batch of a change feed."""
-    return changes.groupBy(*by, "_change_type", "_commit_version").agg(F.count(F.lit(1)).alias("rows"))
+def change_rollup(changes: DataFrame, to_version: int | None = None, by: Sequence[str] = ("exchange",)) -> DataFrame:
+    """Rows per group, change type and change batch: of a change feed, or (with
+    ``to_version``) of net changes, whose copies are summed without expanding them."""
+    if to_version is None:
+        return changes.groupBy(*by, "_change_type", "_commit_version").agg(F.count(F.lit(1)).alias("rows"))
+    kind = F.when(F.col("_net") > 0, "insert").otherwise("delete")
+    return changes.groupBy(*by, kind.alias("_change_type"), F.lit(int(to_version)).alias("_commit_version")).agg(
+        F.sum(F.abs("_net")).alias("rows"))
 
 
 def trade_metrics(gold: DataFrame, by: Sequence[str] = ("exchange", "symbol")) -> DataFrame:
@@ -39,6 +44,10 @@ def trade_metrics(gold: DataFrame, by: Sequence[str] = ("exchange", "symbol")) -
         F.sum("quantity").alias("total_quantity"),
         F.sum("trade_value").alias("total_value"),
     )
+    return with_vwap(out)
+
+
+def with_vwap(out: DataFrame) -> DataFrame:
     vwap = F.round(F.col("total_value").cast("double") / F.nullif(F.col("total_quantity"), F.lit(0)).cast("double"), 4)
     return out.withColumn("vwap", vwap)
 

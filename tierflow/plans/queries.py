@@ -16,7 +16,7 @@ from tierflow.config import (MARKET_HOURS_RULE, PRICE_BUCKET_SQL, PRICE_RANGE_RU
                              VALID_TRADE_RULE)
 from tierflow.functions.schema import TRADE_TYPES_DECLARED, conform
 from tierflow.operators import changefeed, monitoring, quality, rollups
-from tierflow.operators.transforms import apply_sql_template, stamp, union_tier
+from tierflow.operators.transforms import apply_sql_template, stamp
 from tierflow.sources.adapter import AS_OF_SPARK, bronze_trades, read_table, trades
 
 EXCHANGES = ("NYSE", "NASDAQ", "LSE")
@@ -27,22 +27,23 @@ ALERT_THRESHOLD = 0.99
 DEC = "decimal(38,4)"
 
 
-def silver(spark: SparkSession, sf_dir: str, exchange: str) -> DataFrame:
-    """bronze (text) -> typed -> primary filter -> stamp -> fail-on-violation."""
-    b = bronze_trades(spark, sf_dir, exchange, clean=True)
-    df = conform(b, ADAPTER_TYPES).filter(f"exchange = '{exchange}'")
-    df = stamp(df, "processing_timestamp", AS_OF_SPARK)
-    return quality.expect_all_or_fail(df, {"valid_trade": VALID_TRADE_RULE}, label=f"silver_{exchange.lower()}")
+def silver(spark: SparkSession, sf_dir: str, *exchanges: str) -> DataFrame:
+    """bronze (text) -> typed -> primary filter -> stamp -> fail-on-violation.  The
+    adapter holds all exchanges in one table, so several of them are one scan."""
+    among = "exchange IN ({})".format(", ".join(f"'{ex}'" for ex in exchanges))
+    b = bronze_trades(spark, sf_dir, clean=True).filter(among)
+    df = stamp(conform(b, ADAPTER_TYPES).filter(among), "processing_timestamp", AS_OF_SPARK)
+    return quality.expect_all_or_fail(df, {"valid_trade": VALID_TRADE_RULE}, label=f"silver_{'_'.join(exchanges).lower()}")
 
 
-def gold(spark: SparkSession, sf_dir: str, exchange: str, template: str = TRADE_VALUE_SQL) -> DataFrame:
-    s = silver(spark, sf_dir, exchange)
-    g = apply_sql_template(spark, s, template, f"silver_{exchange.lower()}_trades")
+def gold(spark: SparkSession, sf_dir: str, *exchanges: str, template: str = TRADE_VALUE_SQL) -> DataFrame:
+    s = silver(spark, sf_dir, *exchanges)
+    g = apply_sql_template(spark, s, template, f"silver_{'_'.join(exchanges).lower()}_trades")
     return g.withColumn("trade_value", F.col("trade_value").cast(DEC))
 
 
-def _bronzes(spark, sf_dir):
-    return [bronze_trades(spark, sf_dir, ex) for ex in EXCHANGES]
+def _bronze(spark, sf_dir):
+    return bronze_trades(spark, sf_dir).filter(F.col("exchange").isin(*EXCHANGES))
 
 
 def q_silver(exchange):
@@ -54,19 +55,19 @@ def q_gold(exchange):
 
 
 def q_gold_price_bucket(spark, sf_dir):
-    return union_tier([gold(spark, sf_dir, ex, PRICE_BUCKET_SQL) for ex in EXCHANGES])
+    return gold(spark, sf_dir, *EXCHANGES, template=PRICE_BUCKET_SQL)
 
 
 def q_changes_summary(spark, sf_dir):
-    return monitoring.changes_summary(_bronzes(spark, sf_dir), AS_OF_SPARK)
+    return monitoring.changes_summary([_bronze(spark, sf_dir)], AS_OF_SPARK)
 
 
 def q_quality_monitoring(spark, sf_dir):
-    return monitoring.quality_monitoring([silver(spark, sf_dir, ex) for ex in EXCHANGES], AS_OF_SPARK)
+    return monitoring.quality_monitoring([silver(spark, sf_dir, *EXCHANGES)], AS_OF_SPARK)
 
 
 def q_file_metrics(spark, sf_dir):
-    return monitoring.file_metrics(_bronzes(spark, sf_dir), AS_OF_SPARK)
+    return monitoring.file_metrics([_bronze(spark, sf_dir)], AS_OF_SPARK)
 
 
 def q_quality_score(spark, sf_dir):
@@ -113,11 +114,11 @@ def change_feed_trades(spark, sf_dir):
 
 
 def q_change_rollup(spark, sf_dir):
-    return rollups.change_rollup(change_feed_trades(spark, sf_dir))
+    return rollups.change_rollup(changefeed.net_changes(trades(spark, sf_dir), trades(spark, sf_dir, clean=True)), 2)
 
 
 def q_trade_metrics(spark, sf_dir):
-    g = union_tier([gold(spark, sf_dir, ex) for ex in EXCHANGES])
+    g = gold(spark, sf_dir, *EXCHANGES)
     return rollups.trade_metrics(g).withColumn("total_value", F.col("total_value").cast(DEC))
 
 

@@ -23,17 +23,21 @@ from tierflow.operators import changefeed, rollups
 from tierflow.operators.transforms import union_tier
 from tierflow.plans.oracle import TRADE_COLS
 from tierflow.plans.pipeline import run_update
-from tierflow.plans.queries import ADAPTER_TYPES, DEC, EXCHANGES
+from tierflow.plans.queries import ADAPTER_TYPES, DEC, EXCHANGES, RULES
 from tierflow.session import work_dir
 from tierflow.sinks.tables import TableStore, compact_table
 from tierflow.sources.adapter import AS_OF_SPARK, AS_OF_SQL, read_table, trades, trades_sql
 from tierflow.sources.generator import write_landing
 from tierflow.sources.landing import landing_files
+from tierflow.streaming import partials
 from tierflow.streaming.windows import run_windows, windowed_counts
 
+TRADE_COLUMNS_CHECKED = ("trade_id", "symbol", "price", "quantity", "timestamp", "trade_type", "market_center", "file_path")
 FILES_PER_EXCHANGE = 4
 DROP_CUTOFF = "1996-01-01 00:00:00"
 FILES_PER_TRIGGER = 2
+ROLLUPS = (partials.file_rollup(), partials.trade_metrics(), partials.rule_compliance(RULES),
+           partials.completeness(TRADE_COLUMNS_CHECKED), partials.distinct_values())
 _RUNS: dict = {}
 _LOCK = threading.Lock()
 TRADE_LIST = [c.strip() for c in TRADE_COLS.split(",")]
@@ -65,7 +69,8 @@ def pipeline_run(spark: SparkSession, sf_dir: str, incremental: bool = False):
             return _RUNS[key]
         root = work_dir(spark, "pipeline-incremental" if incremental else "pipeline")
         landing, state, tables = f"{root}/landing", f"{root}/state", f"{root}/tables"
-        configs = default_sources(landing, state, declared_types=ADAPTER_TYPES,
+        # the landing files stay where they are: other plans list them
+        configs = default_sources(landing, state, declared_types=ADAPTER_TYPES, clean_source="off",
                                   max_files_per_trigger=FILES_PER_TRIGGER,
                                   gold_mode="auto" if incremental else "full")
         store = TableStore(spark, tables)
@@ -74,7 +79,8 @@ def pipeline_run(spark: SparkSession, sf_dir: str, incremental: bool = False):
             for ex in EXCHANGES:
                 write_landing(landing_frame(spark, sf_dir, ex, drop), landing, ex, prefix, "00000000_000000")
             results.append(run_update(spark, configs, store, as_of=AS_OF_SPARK,
-                                      monitoring_mode="incremental" if incremental else "full"))
+                                      monitoring_mode="incremental" if incremental else "full",
+                                      rollups=ROLLUPS if incremental else ()))
         _RUNS[key] = (store, configs, results, landing)
         return _RUNS[key]
 

@@ -8,6 +8,7 @@ pyarrow filesystems are used (local, S3, GCS, HDFS)."""
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyarrow import fs as pafs
@@ -60,6 +61,51 @@ def list_dirs(uri: str) -> list[str]:
     return sorted(i.base_name for i in infos if i.type == pafs.FileType.Directory)
 
 
+def list_names(uri: str) -> list[str]:
+    """Names of the files in a folder (none if it is missing)."""
+    h = _hadoop(uri)
+    if h:
+        fs, path = h
+        if not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
+            return []
+        return sorted(st.getPath().getName() for st in fs.listStatus(path) if st.isFile())
+    f, p = _split(uri)
+    if f.get_file_info(p).type != pafs.FileType.Directory:
+        return []
+    infos = f.get_file_info(pafs.FileSelector(p, recursive=False))
+    return sorted(i.base_name for i in infos if i.type == pafs.FileType.File)
+
+
+def create_new(uri: str, text: str) -> bool:
+    """Create a small file that must not exist yet, with its whole content or not at
+    all; False if another writer was first."""
+    f, p = _split(uri)
+    if isinstance(f, pafs.LocalFileSystem):
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        tmp = f"{p}.{uuid.uuid4().hex}.tmp"
+        with open(tmp, "w", encoding="utf-8") as out:
+            out.write(text)
+        try:
+            os.link(tmp, p)  # fails where the name is taken
+            return True
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(tmp)
+    fs, path = _hadoop(uri)
+    try:
+        out = fs.create(path, False)  # the file system decides between two writers
+    except Exception as e:
+        if fs.exists(path):
+            return False
+        raise e
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
 def total_size(uri: str) -> int:
     """Bytes of visible data files under ``uri`` (hidden ``_``/``.`` names skipped)."""
     h = _hadoop(uri)

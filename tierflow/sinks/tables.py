@@ -9,6 +9,11 @@
   whose write committed (recorded in the table's metadata), so readers of the previous
   version are never disturbed, a failed refresh is simply skipped, and the
   change feed can diff two versions.
+* Compacted copies of append tables: ``<table>/_compacted/<n>/`` holds the rows
+  of a range of closed batches in files of the target size.  The table's
+  metadata points at these segments; batch readers take them instead of the batch
+  folders they cover, while streams, to which names with ``_`` are hidden, go on
+  with the batch folders, so no row is delivered again.
 Comment and properties are kept in ``<table>/_table.json``.
 """
 
@@ -18,7 +23,7 @@ import json
 import math
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +71,7 @@ class TableStore:
         if optimize_write:
             df = df.hint("rebalance")
         prefix = f"{partition[0]}={partition[1]}/" if partition else ""
+        self._uncover(name, partition[1] if partition else "", int(batch_id))
         df.write.mode("overwrite").parquet(f"{self.path(name)}/{prefix}batch_id={int(batch_id)}")
         with _META:
             old = self.stored_schema(name)
@@ -75,16 +81,20 @@ class TableStore:
                 schema = T.StructType(list(old.fields) + [f for f in df.schema.fields if f.name not in known])
             self.set_meta(name, kind="append", schema=schema.json(), partition=partition[0] if partition else None)
 
-    def batches(self, name: str) -> list[int]:
+    def batches_by_partition(self, name: str) -> dict[str, list[int]]:
+        """Batch numbers by partition value; an unpartitioned table has the value ""."""
+        number = lambda dirs: sorted(int(d.split("=", 1)[1]) for d in dirs if d.startswith("batch_id="))
         top = paths.list_dirs(self.path(name))
-        if any(d.startswith("batch_id=") for d in top):
-            return sorted(int(d.split("=", 1)[1]) for d in top if d.startswith("batch_id="))
-        found = set()
+        if own := number(top):
+            return {"": own}
+        out = {}
         for d in top:  # partitioned append table: <key>=<value>/batch_id=<n>
             if "=" in d and not d.startswith(("version=", "_", ".")):
-                found |= {int(b.split("=", 1)[1]) for b in paths.list_dirs(f"{self.path(name)}/{d}")
-                          if b.startswith("batch_id=")}
-        return sorted(found)
+                out[d.split("=", 1)[1]] = number(paths.list_dirs(f"{self.path(name)}/{d}"))
+        return {k: v for k, v in out.items() if v}
+
+    def batches(self, name: str) -> list[int]:
+        return sorted({b for bs in self.batches_by_partition(name).values() for b in bs})
 
     def stored_schema(self, name: str) -> T.StructType | None:
         s = self.meta(name).get("schema")
@@ -101,13 +111,70 @@ class TableStore:
             part = self.meta(name).get("partition")
             extra = ([T.StructField(part, T.StringType(), True)] if part else []) + \
                 [T.StructField("batch_id", T.IntegerType(), True)]
-            df = self.spark.read.schema(T.StructType(list(schema.fields) + extra)).parquet(self.path(name))
+            full = T.StructType(list(schema.fields) + extra)
+            df = self.spark.read.schema(full).parquet(self.path(name))
+            segments = self.meta(name).get("compacted") or []
+            if segments:
+                copies = self.spark.read.schema(full).parquet(
+                    *[f"{self.path(name)}/_compacted/{seg['dir']}" for seg in segments])
+                df = copies.unionByName(df.filter(~self._covered(part, segments[-1]["through"])))
             if part and not with_batch_id:
                 df = df.drop(part)
         else:
             df = self.spark.read.option("mergeSchema", "true").parquet(self.path(name))
         return df if with_batch_id else df.drop("batch_id")
 
+    # -- compacted copies of append tables ---------------------------------------
+    @staticmethod
+    def _covered(part: str | None, through: dict) -> Column:
+        """Of a batch folder's rows: are they up to ``through``?  Only partition columns
+        are used, so covered folders are not read at all."""
+        hit = F.lit(False)
+        for value, last in through.items():
+            one = F.col("batch_id") <= int(last)
+            hit = hit | (one & (F.col(f"`{part}`") == value) if part else one)
+        return hit
+
+    def _uncover(self, name: str, value: str, batch_id: int) -> None:
+        """Before a batch is written again: no copy that covers it counts any longer."""
+        with _META:
+            m = self.meta(name)
+            segments = m.get("compacted") or []
+            good = [seg for seg in segments if seg["through"].get(value, -1) < batch_id]
+            if len(good) < len(segments):
+                self.set_meta(name, compacted=good)
+
+    def compact_append(self, name: str, target_bytes: int = TARGET_FILE_BYTES, least_batches: int = 2) -> bool:
+        """Copy the closed batches that no segment covers yet into a new segment with
+        files of about ``target_bytes`` and point batch readers at it.  A batch is closed
+        once its stream has written a later one (the last may still be replayed).  Costs
+        one pass over the new batches; False if they are fewer than ``least_batches``."""
+        m = self.meta(name)
+        part, segments = m.get("partition"), m.get("compacted") or []
+        done = segments[-1]["through"] if segments else {}
+        closed = {v: [b for b in bs[:-1] if b > done.get(v, -1)] for v, bs in self.batches_by_partition(name).items()}
+        closed = {v: bs for v, bs in closed.items() if bs}
+        if sum(map(len, closed.values())) < max(1, least_batches):
+            return False
+        through = {**done, **{v: bs[-1] for v, bs in closed.items()}}
+        prefix = lambda v: f"{self.path(name)}/{part}={v}" if part else self.path(name)
+        size = sum(paths.total_size(f"{prefix(v)}/batch_id={b}") for v, bs in closed.items() for b in bs)
+        extra = ([T.StructField(part, T.StringType(), True)] if part else []) + [T.StructField("batch_id", T.IntegerType(), True)]
+        full = T.StructType(list(self.stored_schema(name).fields) + extra)
+        rows = self.spark.read.schema(full).parquet(self.path(name)).filter(self._covered(part, through))
+        if done:
+            rows = rows.filter(~self._covered(part, done))
+        with _META:  # a number that no segment ever had, valid or not
+            number = max([-1, *[int(d) for d in paths.list_dirs(f"{self.path(name)}/_compacted") if d.isdigit()]]) + 1
+        # in the order of batches, so that a range of batches skips row groups
+        compact(rows, size, target_bytes).sortWithinPartitions("batch_id").write.mode("errorifexists").parquet(
+            f"{self.path(name)}/_compacted/{number}")
+        with _META:
+            if (self.meta(name).get("compacted") or []) != segments:
+                return False  # a covered batch was written again meanwhile: this copy does not count
+            self.set_meta(name, compacted=[*segments, {"dir": str(number), "through": through}])
+        return True
+
     def stream_append(self, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
         schema = self.stored_schema(name)
         if schema is None:
@@ -200,3 +267,13 @@ def compact_table(store: TableStore, name: str, target_bytes: int = TARGET_FILE_
     m = store.meta(name)
     return store.write_snapshot(name, compact(store.read_version(name), size, target_bytes),
                                 comment=m.get("comment"), properties=m.get("properties"))
+
+
+AUTO_COMPACT_BATCHES = 16  # closed batches outside any copy from which ``auto_compact`` makes one
+
+
+def auto_compact(store: TableStore, name: str, least_batches: int = AUTO_COMPACT_BATCHES) -> bool:
+    """Compact an append table whose properties ask for it, once enough batches wait."""
+    m = store.meta(name)
+    wanted = str((m.get("properties") or {}).get("delta.autoOptimize.autoCompact", "false")).lower() == "true"
+    return wanted and m.get("kind") == "append" and store.compact_append(name, least_batches=least_batches)

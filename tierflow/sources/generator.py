@@ -41,7 +41,6 @@ def generate_trades(spark: SparkSession, exchange: str, rows: int = DEFAULT_ROWS
     start = start or end - dt.timedelta(hours=1)
     span = max(1, int((end - start).total_seconds()))
     syms = symbols or TRADE_EXCHANGES[exchange]
-    low = exchange.lower()
 
     def u(name):
         return unit_hash(seed, F.col("id"), F.lit(exchange), salt=name)
@@ -71,7 +70,7 @@ def generate_trades(spark: SparkSession, exchange: str, rows: int = DEFAULT_ROWS
         pick(TRADE_TYPES, u("trade_type")).alias("trade_type"),
         pick(MARKET_CENTERS, u("market_center")).alias("market_center"),
         F.current_timestamp().alias("ingestion_timestamp"),
-    ).withColumn("file_path", F.concat(F.lit(f"/mnt/data/{low}/trades_"),
+    ).withColumn("file_path", F.concat(F.lit("/mnt/data/"), F.lower("exchange"), F.lit("/trades_"),
                                        F.date_format("timestamp", "yyyyMMdd_HHmm"), F.lit(".parquet")))
 
 

@@ -5,7 +5,10 @@ header (extra, missing or reordered columns), so a micro-batch of files is
 grouped by header; each group is read with its own all-text schema and then
 projected BY NAME onto the table schema.  Columns the table does not know go
 into the rescued-data column as JSON (rescue mode) or widen the table schema
-(additive mode).  Header discovery reads only the first bytes of each file,
+(additive mode).  A record that does not have the header's number of fields is
+kept as raw text by the scan and split by position: fields beyond the header are
+rescued as ``_c<position>``, and the columns that a short record lacks are named
+under ``_missing``.  Header discovery reads only the first bytes of each file,
 in Spark tasks.
 """
 
@@ -22,7 +25,7 @@ from collections.abc import Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,18 +117,54 @@ def _dedupe(names: list[str]) -> list[str]:
     return out
 
 
+# One field and its comma: quoted (with escaped or doubled quotes) or plain.
+_FIELD = r'("[^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+"|[^,]*),'
+
+
+def _free(name: str, taken: Sequence[str]) -> str:
+    """``name``, with underscores before it until no name in ``taken`` begins with it."""
+    while any(t.startswith(name) for t in taken):
+        name = "_" + name
+    return name
+
+
+def _record_rescue(record: Column, header: Sequence[str]) -> Column:
+    """Map of what a record of another length than the header has or lacks: its
+    surplus fields by position, and the names of its missing ones."""
+    n = len(header)
+    fields = F.regexp_extract_all(F.concat(record, F.lit(",")), F.lit(_FIELD), 1)
+    surplus = F.slice(fields, n + 1, F.greatest(F.size(fields) - n, F.lit(0)))
+
+    def text(f):
+        inner = F.replace(F.replace(F.substr(f, F.lit(2), F.length(f) - 2), F.lit('\\"'), F.lit('"')), F.lit('""'), F.lit('"'))
+        return F.when(f.startswith('"') & f.endswith('"') & (F.length(f) > 1), inner).otherwise(f)
+
+    key = _free("_c", header)
+    named = F.transform(surplus, lambda f, i: F.struct(F.concat(F.lit(key), (i + n).cast("string")).alias("k"),
+                                                       text(f).alias("v")))
+    lacking = F.array_join(F.slice(F.array(*[F.lit(h) for h in header]), F.size(fields) + 1,
+                                   F.greatest(n - F.size(fields), F.lit(0))), ",")
+    missing = F.when(F.size(fields) < n, F.create_map(F.lit(_free("_missing", header)), lacking))
+    return F.map_concat(F.map_from_entries(F.filter(named, lambda e: e["v"] != "")),
+                        F.coalesce(missing, F.create_map().cast("map<string,string>")))
+
+
 def project_by_name(df: DataFrame, header: Sequence[str], columns: Sequence[str],
-                    rescued_col: str = RESCUED) -> DataFrame:
-    """Select the table's columns by name; keep unknown ones as rescued JSON."""
+                    rescued_col: str = RESCUED, record_col: str | None = None) -> DataFrame:
+    """Select the table's columns by name; keep unknown ones as rescued JSON, and
+    with ``record_col`` (the raw text of a record of another length, else NULL)
+    also the fields that have no column."""
     known = set(columns)
     extras = [h for h in header if h not in known and h != rescued_col]
     sel = [F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns]
-    if extras:
-        m = F.map_filter(F.create_map(*[x for h in extras for x in (F.lit(h), F.col(f"`{h}`"))]),
-                         lambda k, v: v.isNotNull())
-        rescued = F.when(F.size(m) > 0, F.to_json(m))
-    else:
-        rescued = F.lit(None).cast("string")
+    by_name = F.map_filter(F.create_map(*[x for h in extras for x in (F.lit(h), F.col(f"`{h}`"))]).cast("map<string,string>"),
+                           lambda k, v: v.isNotNull())
+    as_json = lambda m: F.when(F.size(m) > 0, F.to_json(m))
+    rescued = as_json(by_name) if extras else F.lit(None).cast("string")
+    if record_col:
+        record = F.col(f"`{record_col}`")
+        rescued = F.when(record.isNull(), rescued).otherwise(
+            as_json(F.map_concat(by_name, _record_rescue(record, header))))
     return df.select(*sel, rescued.alias(rescued_col), F.col("source_file"))
 
 
@@ -140,17 +179,29 @@ def read_files(spark: SparkSession, files: Sequence[str], columns: Sequence[str]
             groups.setdefault(tuple(_dedupe(list(h))), []).append(f)
     parts = []
     for header, group in groups.items():
-        raw = (spark.read.schema(string_schema(header)).option("header", True).option("inferSchema", False)
-               .option("mode", "PERMISSIVE").csv(list(group)))
+        record = _free("_record", header)
+        raw = (spark.read.schema(string_schema([*header, record])).option("header", True).option("inferSchema", False)
+               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", record).csv(list(group)))
         raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
-        parts.append(project_by_name(raw, header, columns, rescued_col))
+        parts.append(project_by_name(raw, header, columns, rescued_col, record))
     return union_tier(parts) if parts else None
 
 
-def read_landing(spark: SparkSession, glob: str) -> DataFrame:
-    """Batch scan of many landing folders by glob: header names, text values."""
-    return (spark.read.option("header", True).option("inferSchema", False).csv(glob)
-            .withColumn("source_file", F.col("_metadata.file_path")))
+def read_landing(spark: SparkSession, glob: str, columns: Sequence[str] | None = None,
+                 rescued_col: str = RESCUED) -> DataFrame:
+    """Batch scan of many landing folders by glob, as the stream reads them: text
+    values by header name, rescue JSON, ``source_file``.  Without ``columns`` the
+    header of the first file (by path) names them.  The driver holds the names of
+    the files, as for any scan."""
+    listed = spark.read.format("binaryFile").schema(LISTING_SCHEMA).load(glob).select("path").collect()
+    files = sorted(r.path for r in listed)
+    headers = read_headers(spark, files)
+    if columns is None:
+        columns = next((_dedupe(headers[f]) for f in files if headers.get(f)), None)
+    df = read_files(spark, files, columns, headers, rescued_col) if columns else None
+    if df is None:
+        return spark.createDataFrame([], string_schema([*(columns or []), rescued_col, "source_file"]))
+    return df
 
 
 def stream_landing(spark: SparkSession, glob: str, schema: T.StructType | Sequence[str],
@@ -164,7 +215,7 @@ def stream_landing(spark: SparkSession, glob: str, schema: T.StructType | Sequen
     return r.csv(glob).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def landing_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
+def landing_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     """Files and bytes per source folder (``<root>/<source>/...``).  Only file
     metadata is read (the content column is never selected)."""
     root_uri = root.rstrip("/")

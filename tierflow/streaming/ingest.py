@@ -16,6 +16,8 @@ with overwrite makes a replayed batch replace itself (exactly-once table).
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,24 +33,57 @@ from tierflow.sinks.tables import TableStore
 from tierflow.sources.landing import LISTING_SCHEMA, read_files, read_headers
 
 
-def schema_file(cfg: SourceConfig) -> str:
-    return f"{cfg.checkpoint_path.rstrip('/')}/_schemas/schema.json"
+def schema_log(cfg: SourceConfig) -> str:
+    return f"{cfg.checkpoint_path.rstrip('/')}/_schemas"
 
 
-def load_or_discover_schema(cfg: SourceConfig, first_header: list[str] | None) -> list[str] | None:
-    """Column list remembered between runs.  First run: the declared columns
+def schema_versions(cfg: SourceConfig) -> list[int]:
+    names = [n for n in paths.list_names(schema_log(cfg)) if re.fullmatch(r"v\d{8}\.json", n)]
+    return sorted(int(n[1:9]) for n in names)
+
+
+def schema_of_version(cfg: SourceConfig, version: int) -> list[str]:
+    return json.loads(paths.read_text(f"{schema_log(cfg)}/v{version:08d}.json"))["columns"]
+
+
+def current_schema(cfg: SourceConfig) -> tuple[int, list[str]] | None:
+    """(version, columns) of the newest entry of the schema log."""
+    have = schema_versions(cfg)
+    return (have[-1], schema_of_version(cfg, have[-1])) if have else None
+
+
+def widen_schema(cfg: SourceConfig, columns: Sequence[str]) -> tuple[int, list[str]]:
+    """Make sure that the source's schema has all ``columns``.  The log is append-only:
+    a wider schema is a new entry that is created only if no other writer has taken
+    its number; then it is widened once more, so no column is ever lost."""
+    while True:
+        at = current_schema(cfg)
+        have = at[1] if at else []
+        grown = [*have, *dict.fromkeys(c for c in columns if c not in have)]
+        if at and grown == have:
+            return at
+        version = at[0] + 1 if at else 0
+        if paths.create_new(f"{schema_log(cfg)}/v{version:08d}.json", json.dumps({"columns": grown})):
+            return version, grown
+
+
+def load_or_discover_schema(cfg: SourceConfig, first_header: list[str] | None) -> tuple[int, list[str]] | None:
+    """(version, columns) remembered between runs.  First run: the declared columns
     if configured, else the first file's header."""
-    text = paths.read_text(schema_file(cfg))
-    if text:
-        return json.loads(text)["columns"]
+    at = current_schema(cfg)
+    if at:
+        return at
     cols = list(cfg.declared_types.keys()) if cfg.declared_types else (list(first_header) if first_header else None)
-    if cols:
-        save_schema(cfg, cols)
-    return cols
+    return widen_schema(cfg, cols) if cols else None
 
 
-def save_schema(cfg: SourceConfig, columns: list[str]) -> None:
-    paths.write_text(schema_file(cfg), json.dumps({"columns": list(columns)}))
+def batch_schema(cfg: SourceConfig, batch_id: int) -> tuple[int, list[str]] | None:
+    """(version, columns) that a bronze batch was read with."""
+    text = paths.read_text(f"{schema_log(cfg)}/batches/{batch_id}.json")
+    if text is None:
+        return None
+    version = json.loads(text)["version"]
+    return version, schema_of_version(cfg, version)
 
 
 def listing_stream(spark: SparkSession, cfg: SourceConfig):
@@ -59,7 +94,7 @@ def listing_stream(spark: SparkSession, cfg: SourceConfig):
     if cfg.clean_source != "off":
         r = r.option("cleanSource", cfg.clean_source)
         if cfg.clean_source == "archive":
-            r = r.option("sourceArchiveDir", cfg.archive_dir)
+            r = r.option("sourceArchiveDir", cfg.archive_path)
     return r.load(cfg.source_path).select("path", "length", "modificationTime")
 
 
@@ -72,16 +107,13 @@ def bronze_batch_writer(spark: SparkSession, cfg: SourceConfig, store: TableStor
             return
         headers = read_headers(spark, files)
         first = next((headers[f] for f in files if headers.get(f)), None)
-        columns = load_or_discover_schema(cfg, first)
-        if columns is None:
+        at = load_or_discover_schema(cfg, first)
+        if at is None:
             return
         if cfg.schema_evolution_mode == "additive":
-            grown = list(columns)
-            for f in files:
-                grown += [h for h in headers.get(f) or [] if h not in grown and h != cfg.rescued_data_column]
-            if grown != columns:
-                save_schema(cfg, grown)
-                columns = grown
+            at = widen_schema(cfg, [h for f in files for h in headers.get(f) or [] if h != cfg.rescued_data_column])
+        version, columns = at
+        paths.write_text(f"{schema_log(cfg)}/batches/{batch_id}.json", json.dumps({"version": version}))
         df = read_files(spark, files, columns, headers, cfg.rescued_data_column)
         if df is not None:
             store.append_batch(cfg.raw_table, df, batch_id, optimize_write=cfg.optimize_write)

@@ -42,7 +42,13 @@ def run_windows(agg: DataFrame, store: TableStore, table: str, checkpoint: str,
       window table as a new version of ``table``.
     * ``append``: only windows closed by the watermark are emitted; each
       batch is appended as its own ``batch_id`` directory.  State stays
-      bounded by the watermark."""
+      bounded by the watermark.
+    * ``update``: every window that a batch touched is emitted with its new
+      value and appended; ``latest_windows`` reads the last value of each.  A
+      window is there as soon as its first row is, and state is bounded too."""
+    if mode not in ("complete", "append", "update"):
+        raise ValueError("mode must be complete, append or update")
+
     def write(df, batch_id):
         if mode == "complete":
             store.write_snapshot(table, df)
@@ -51,3 +57,13 @@ def run_windows(agg: DataFrame, store: TableStore, table: str, checkpoint: str,
 
     return (agg.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
             .foreachBatch(write).trigger(availableNow=True).start())
+
+
+def latest_windows(store: TableStore, table: str, by: Sequence[str] = ()) -> DataFrame:
+    """Of a table written in update mode: each window with its last value.  One
+    aggregate by window, partial first; a compacted table reads few files."""
+    df = store.read_append(table)
+    keys = ["window_start", "window_end", *by]
+    values = [c for c in df.columns if c not in (*keys, "batch_id")]
+    last = df.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("v"))
+    return last.select(*keys, "v.*")
