@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.test_streaming import AS_OF, HEADER, cfg_for, write
 from tierflow.functions.schema import conform
+from tierflow.operators import changefeed
 from tierflow.operators import rollups as R
 from tierflow.plans.pipeline import STATUS_TABLE, UpdateFailed, run_update
 from tierflow.sinks import catalog, paths
@@ -52,8 +53,10 @@ def test_compacted_copies(spark, tmp):
     assert len(live) == 3 and all("batch_id=7" in r.f for r in live)
     # a covered batch that is written again is read from its folder, as are all after it
     store.append_batch("t", spark.range(500, 501), 5)
-    assert store.meta("t")["compacted"] == [] and store.read("t").count() == 71
+    assert [seg["through"] for seg in store.meta("t")["compacted"]] == [{"": 4}] and store.read("t").count() == 71
     assert store.compact_append("t") and store.read("t").count() == 71
+    store.append_batch("t", spark.range(500, 502), 0)
+    assert store.meta("t")["compacted"] == [] and store.read("t").count() == 63
 
 
 def test_compaction_of_partitioned_and_small_tables(spark, tmp):
@@ -211,3 +214,34 @@ def test_catalog_follows_versions_batches_and_columns(spark, tmp):
     catalog.publish(store, "p", db)
     assert spark.table(table).count() == 21 and spark.sql(f"SHOW PARTITIONS {table}").count() == 3
     assert spark.table(table).filter("extra = 7 AND source = 'b'").count() == 1
+
+
+def feed(df):
+    return sorted((r.k, r.v, r._change_type) for r in df.collect())
+
+
+def test_bucketed_change_feed_reads_changed_buckets_only(spark, tmp):
+    store = TableStore(spark, tmp)
+    base = spark.range(400).select((F.col("id") % 20).alias("k"), (F.col("id") % 3).cast("string").alias("v"))
+    new = base.filter("k <> 7").unionByName(base.filter("k = 7").limit(5)).unionByName(spark.sql("SELECT 3L k, '9' v"))
+    v1 = store.write_snapshot("t", base, buckets=(["k"], 16))
+    v2 = store.write_snapshot("t", new, buckets=(["k"], 16))
+    assert rows(store.read("t")) == rows(new) and store.read("t").columns == ["k", "v"]
+    changed = changefeed.changed_buckets(store, "t", v1, v2)
+    assert 1 <= len(changed) <= 2
+    got = changefeed.bucketed_change_feed(store, "t", v1, v2)
+    assert feed(got) == feed(changefeed.change_feed(base, new, v2)) and got.count() == 16
+    import contextlib
+    import io
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        got.explain("formatted")
+    filters = [line for line in out.getvalue().splitlines() if line.startswith("PartitionFilters")]
+    assert len(filters) == 2 and all("_bucket" in f for f in filters)
+    assert changefeed.bucketed_change_feed(store, "t", v2, v2).count() == 0
+    # another layout, another column or no layout: every bucket is compared
+    v3 = store.write_snapshot("t", new.withColumn("w", F.lit(1)), buckets=(["k"], 8))
+    assert changefeed.changed_buckets(store, "t", v2, v3) is None
+    assert changefeed.bucketed_change_feed(store, "t", v2, v3).count() == 2 * new.count()
+    v4 = store.write_snapshot("t", new)
+    assert changefeed.bucketed_change_feed(store, "t", v2, v4).count() == 0

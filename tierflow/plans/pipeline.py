@@ -100,7 +100,8 @@ def refresh_gold(spark: SparkSession, cfg: SourceConfig, store: TableStore) -> i
     gold = apply_sql_template(spark, silver, cfg.business_logic, cfg.clean_table)
     return store.write_snapshot(cfg.transform_table, gold,
                                 comment=f"{cfg.name}: silver rows through the SQL template",
-                                properties=dict(cfg.table_properties), optimize_write=cfg.optimize_write)
+                                properties=dict(cfg.table_properties), optimize_write=cfg.optimize_write,
+                                buckets=(["source_file"], cfg.change_buckets) if cfg.change_buckets else None)
 
 
 def refresh_monitoring(store: TableStore, configs: Sequence[SourceConfig], as_of=None) -> dict:

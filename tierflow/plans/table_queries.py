@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 from tierflow.config import SourceConfig, default_sources
 from tierflow.functions.exprs import in_market_hours, price_bucket
-from tierflow.operators import quality
+from tierflow.operators import changefeed, quality
 from tierflow.operators.transforms import union_tier
 from tierflow.plans.oracle import time_windows, trade_metrics, with_trades
 from tierflow.plans.pipeline import STATUS_TABLE, UpdateFailed, run_update
 from tierflow.plans.queries import ADAPTER_TYPES, DEC, EXCHANGES, RULES
-from tierflow.plans.streaming_queries import (_SILVER_SQL, DROP_CUTOFF, ROLLUPS, SILVER_OUT, TRADE_COLUMNS_CHECKED,
-                                              TRADE_LIST, landing_frame, pipeline_run)
+from tierflow.plans.streaming_queries import (_SILVER_SQL, DROP_CUTOFF, ROLLUPS, SILVER_OUT, STREAM_ORACLES,
+                                              TRADE_COLUMNS_CHECKED, TRADE_LIST, landing_frame, pipeline_run)
 from tierflow.session import work_dir
 from tierflow.sinks import catalog
 from tierflow.sinks.streams import append_stream
@@ -38,6 +38,7 @@ LANDED = TRADE_LIST + ["ingestion_timestamp", "file_path"]
 RAGGED_FILES = 4
 MICRO_BATCHES = 120
 SLICES = 5
+FEED_BUCKETS = 64
 
 
 # -- records that do not have the header's number of fields ----------------------
@@ -86,6 +87,22 @@ def q_stream_compact_append(spark, sf_dir):
             .unionByName(silver.select(F.lit("silver").alias("tier"), *[F.col(c).cast("string") for c in LANDED])))
 
 
+def q_stream_change_feed_buckets(spark, sf_dir):
+    """The gold change feed of the second update from bucketed versions: the buckets of
+    the files that landed before are not read."""
+    store, configs, results, _ = pipeline_run(spark, sf_dir)
+    side, feeds = TableStore(spark, f"{work_dir(spark, 'buckets')}/tables"), []
+    for c in configs:
+        versions = [side.write_snapshot(c.transform_table, store.read_version(c.transform_table, r.gold_versions[c.transform_table]),
+                                        buckets=(["source_file"], FEED_BUCKETS)) for r in results]
+        changed = changefeed.changed_buckets(side, c.transform_table, *versions)
+        if not changed or len(changed) > FEED_BUCKETS // 2:
+            raise RuntimeError(f"{c.transform_table}: {changed} should be some of the buckets")
+        feeds.append(changefeed.bucketed_change_feed(side, c.transform_table, *versions))
+    return union_tier(feeds).select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"), "_change_type",
+                                    "_commit_version")
+
+
 def _rollup(name):
     rollup = next(r for r in ROLLUPS if r.name == name)
 
@@ -258,6 +275,7 @@ def q_callable_rules(spark, sf_dir):
 TABLE_QUERIES = {
     "landing_rescue": q_landing_rescue,
     "stream_compact_append": q_stream_compact_append,
+    "stream_change_feed_buckets": q_stream_change_feed_buckets,
     "incremental_file_rollup": q_incremental_file_rollup,
     "incremental_trade_metrics": q_incremental_trade_metrics,
     "incremental_compliance": _rollup("rule_compliance"),
@@ -305,6 +323,7 @@ TABLE_ORACLES = {
         " UNION ALL ".join(f"SELECT '{tier}' AS tier, {_TEXT}, CAST(timestamp AS VARCHAR) AS ingestion_timestamp, "
                            f"source_file AS file_path FROM trades{where}" for tier, where in
                            (("bronze", ""), ("silver", " WHERE price > 0 AND quantity > 0"))), clean=True),
+    "stream_change_feed_buckets": STREAM_ORACLES["stream_change_feed"],
     "incremental_file_rollup": with_trades(
         "SELECT exchange, source_file AS file_path, count(*) AS rows, min(timestamp) AS first_event_ts, "
         "max(timestamp) AS last_event_ts, CAST(sum(quantity) AS BIGINT) AS total_quantity, "

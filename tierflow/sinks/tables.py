@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import math
 import threading
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 from tierflow.config import MAX_FILE_AGE
 from tierflow.sinks import paths
 
+BUCKET = "_bucket"  # partition column of a version that is laid out for change feeds
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 # Streams of one driver run as threads and may append to one table: a table's
 # metadata is read, changed and written under this lock.
@@ -201,14 +203,27 @@ class TableStore:
         return None
 
     def write_snapshot(self, name: str, df: DataFrame, comment: str | None = None,
-                       properties: dict | None = None, optimize_write: bool = False) -> int:
-        """Write a new version and make it current; returns the version number."""
+                       properties: dict | None = None, optimize_write: bool = False,
+                       buckets: tuple[Sequence[str], int] | None = None) -> int:
+        """Write a new version and make it current; returns the version number.
+
+        ``buckets`` (columns, number): rows are laid out by a hash of these columns, and
+        a fingerprint of each bucket is kept beside them, so that a change feed reads
+        only the buckets that differ.  Choose columns that rows which change together
+        share, such as their file."""
         existing = self.versions(name)
         version = (existing[-1] + 1) if existing else 1
-        if optimize_write:
-            df = df.hint("rebalance")
-        df.write.mode("errorifexists").parquet(f"{self.path(name)}/version={version}")
-        self.set_meta(name, kind="snapshot", schema=df.schema.json(), comment=comment, current=version,
+        folder, schema = f"{self.path(name)}/version={version}", df.schema
+        if buckets:
+            columns, n = list(buckets[0]), int(buckets[1])
+            laid = df.withColumn(BUCKET, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(n)).cast("int"))
+            laid.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("errorifexists").parquet(folder)
+            self._write_fingerprint(folder, schema, columns, n)
+        else:
+            if optimize_write:
+                df = df.hint("rebalance")
+            df.write.mode("errorifexists").parquet(folder)
+        self.set_meta(name, kind="snapshot", schema=schema.json(), comment=comment, current=version,
                       properties=dict(properties) if properties else None)
         return version
 
@@ -226,7 +241,30 @@ class TableStore:
         v = version if version is not None else self.latest_version(name)
         if v is None:
             raise FileNotFoundError(f"table {name} has no committed version")
-        return self.spark.read.parquet(f"{self.path(name)}/version={v}")
+        folder = f"{self.path(name)}/version={v}"
+        mark = self.fingerprint(name, v)
+        return self._bucketed(folder, mark).drop(BUCKET) if mark else self.spark.read.parquet(folder)
+
+    def _bucketed(self, folder: str, mark: dict) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(mark["schema"]))
+        return self.spark.read.schema(T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(folder)
+
+    def _write_fingerprint(self, folder: str, schema: T.StructType, columns: list[str], n: int) -> None:
+        """Rows and sum of row hashes of every bucket: ``n`` rows at most reach the driver."""
+        mark = {"schema": schema.json(), "columns": columns, "n": n}
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in schema.fieldNames()]).cast("decimal(38,0)")
+        got = self._bucketed(folder, mark).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("rows"), F.sum(row).alias("sum"))
+        mark["buckets"] = {str(r[BUCKET]): [r["rows"], str(r["sum"])] for r in got.collect()}
+        paths.write_text(f"{folder}/_fingerprint.json", json.dumps(mark))
+
+    def fingerprint(self, name: str, version: int) -> dict | None:
+        text = paths.read_text(f"{self.path(name)}/version={version}/_fingerprint.json")
+        return json.loads(text) if text else None
+
+    def read_buckets(self, name: str, version: int, buckets: Sequence[int]) -> DataFrame:
+        """The rows of some buckets of a version; other folders are not read."""
+        df = self._bucketed(f"{self.path(name)}/version={version}", self.fingerprint(name, version))
+        return df.filter(F.col(BUCKET).isin(*buckets) if buckets else F.lit(False)).drop(BUCKET)
 
     def read(self, name: str) -> DataFrame:
         kind = self.meta(name).get("kind")
