@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert names["pipeline"] is cp.run and [n for n, _ in cp.STAGES] == [
         "toxicity", "ngram_join", "decontamination", "mixing", "sharding"]
 
@@ -27,7 +27,7 @@ def test_stages_match_their_operators(spark):
     columns = docs.columns
     out = cp.drop_toxic(spark, docs, SF).cache()
     model = toxicity.fit(docs, read(spark, SF, "labels").select("doc_id", "toxic").filter(fold(F.col("doc_id"), 4) != 2))
-    bad = {r.doc_id for r in toxicity.score(docs, model).collect() if r.score >= cp.REJECT_TOXIC}
+    bad = {r.doc_id for r in toxicity.score(docs, model).collect() if r.score >= toxicity.THRESHOLD}
     assert {r.doc_id for r in out.collect()} == {r.doc_id for r in docs.collect()} - bad and out.columns == columns
     docs, out = out, cp.drop_near_copies(spark, out, SF).cache()
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -35,7 +35,7 @@ def test_held_out_accuracy(spark):
 
 
 def test_score_of_odd_rows(spark, odd_docs, no_docs):
-    docs, labels = labelled(2, 200)
+    docs, labels = labelled(2, 400)
     d = spark.createDataFrame(docs, "doc_id long, text string")
     model = tx.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
     out = tx.score(odd_docs, model)
@@ -51,16 +51,84 @@ def test_labels_of_one_class_or_none(spark, toxic):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     labels = [] if toxic is None else [(i, toxic) for i, _ in docs]
     model = tx.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
-    assert model["toxic"] == [] and {r.gain for r in tx.score(d, model).collect()} == {0}
+    assert model["toxic"] == b"" and {r.gain for r in tx.score(d, model).collect()} == {0}
+
+
+def test_score_matches_a_plain_model(spark):
+    """The model once more in plain loops: contexts, z-values, samples, dictionaries
+    from zstandard's trainer, windows, excess over ordinary windows, steps."""
+    import math
+    import re
+    from collections import defaultdict
+
+    import zstandard
+    docs, labels = labelled(7, 500)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = tx.fit(d, lab)
+    aside = {r.doc_id for r in d.filter(tx.F.pmod(tx.F.xxhash64(tx.F.col("doc_id").cast("string")), tx.F.lit(tx.CALIBRATION)) == 0).collect()}
+    contexts = defaultdict(dict)
+    for (i, text), (_, t) in zip(docs, labels, strict=True):
+        if i not in aside:
+            w = [""] + [x for x in re.split(tx.SPLIT, text.lower()) if x] + [""]
+            for p, x, n in zip(w, w[1:], w[2:]):
+                contexts[x][p, n] = max(t, contexts[x].get((p, n), 0))
+    a, n = defaultdict(int), defaultdict(int)
+    for x, c in contexts.items():
+        for h in {x[:k] for k in (5, 6) if len(x) >= k} | ({x + " "} if 4 <= len(x) <= 6 else set()):
+            a[h] += sum(c.values())
+            n[h] += len(c)
+    every = [v for c in contexts.values() for v in c.values()]
+    share = sum(every) / len(every)
+    z = {h: (a[h] - n[h] * share) / math.sqrt(n[h] * share * (1 - share)) for h in n}
+    toxic = []
+    for h in sorted((h for h in z if z[h] >= tx.MIN_Z and a[h] >= 3), key=lambda h: (-z[h], -len(h), h)):
+        if not any(h.startswith(t) or t.startswith(h) for t in toxic):
+            toxic.append(h)
+    assert {t.strip() for t in toxic} >= {"viles", "rotte", "foulm", "creti"} or len(toxic) >= 4
+
+    def trained(words):
+        total = defaultdict(int)
+        for x, k in words:
+            total[x.encode()[:7]] += k
+        order = sorted(((x, k) for x, k in total.items() if k), key=lambda e: (-e[1], e[0].hex()))
+        text = [(b"\0\x01\x02" + x) * 3 + b"\0" for x, _ in order]
+        turns = [t for r in range(16) for t, (_, k) in zip(text, order, strict=True) if k > r]
+        try:
+            return zstandard.train_dictionary(16384, turns, k=40, d=6).as_bytes() if turns else b""
+        except zstandard.ZstdError:
+            return b"".join(reversed(text))[-16384:]
+
+    begins = {x for x in contexts if any((x + " ").startswith(t) for t in toxic)}
+    alike = {x for x in contexts if x not in begins and any((x + " ")[:5] == t[:5] for t in toxic)}
+    assert model["toxic"] == trained([(x, sum(contexts[x].values())) for x in begins])
+    assert model["plain"] == trained([(x, len(contexts[x]) - sum(contexts[x].values())) for x in alike])
+    ca, co = tx.compressor(model["toxic"]), tx.compressor(model["plain"])
+
+    def gain(text):
+        m = re.sub(tx.SPLIT, "\x01\x02", " " + text.lower() + " ").encode()
+        at = range(0, max(1, len(m) - 512 + 496), 496)
+        return sum(max(0, len(co.compress(m[i:i + 512])) - len(ca.compress(m[i:i + 512]))) for i in at), len(at)
+
+    gains = {i: gain(t) for i, t in docs}
+    clean = [gains[i] for i, t in labels if i in aside and not t]
+    mean = sum(g for g, _ in clean) / sum(k for _, k in clean)
+    var = sum((g - mean * k) ** 2 for g, k in clean) / sum(k for _, k in clean)
+    assert math.isclose(mean, model["mean"]) and math.isclose(var, model["variance"])
+    for r in tx.score(d, model).collect():
+        g, k = gains[r.doc_id]
+        e = round((g - mean * k) / math.sqrt(var * k + 1), 6)
+        step = [s for least, s in model["steps"] if e >= least][-1]
+        assert r.gain == g and r.score == pytest.approx(0.99 * step + 0.01 * (0.5 + e / (abs(e) + 10) / 2), abs=1e-9)
 
 
 def test_windows_match_a_plain_loop():
-    a, b = tx.compressor(["rotten "]), tx.compressor(["zzzzzz"])
-    text = prose(random.Random(1), 5000) + " rotten end"
+    a, b = (tx.compressor(b"\0" + tx.MARK + w) for w in (b"rottenfoulmouth", b"zzzzzz"))
+    text = prose(random.Random(1), 5000) + " rottenfoulmouth end"
     m = tx.marked(text)
-    want = sum(max(0, len(b.compress(m[i:i + tx.WINDOW])) - len(a.compress(m[i:i + tx.WINDOW])))
-               for i in range(0, max(1, len(m) - tx.WINDOW + tx.STEP), tx.STEP))
-    assert tx.text_gain(text, a, b) == want > 0
+    starts = range(0, max(1, len(m) - tx.WINDOW + tx.STEP), tx.STEP)
+    want = sum(max(0, len(b.compress(m[i:i + tx.WINDOW])) - len(a.compress(m[i:i + tx.WINDOW]))) for i in starts)
+    assert tx.text_gain(text, a, b) == (want, len(starts)) and want > 0
 
 
 def test_calibration_is_monotone():
@@ -111,8 +179,8 @@ def test_windows_match_brute_force(spark):
         for i, x in items:
             v = x.split()
             k = min(8, len(v))
-            if len(v) < 8 and len(w) >= 8:
-                continue  # a short item matches a text of the same words only
+            if len(v) < dc.SHORTEST and len(w) != len(v):
+                continue  # a phrase of three words matches a text of just these words
             at = [p for p in range(len(v) - k + 1) if any(w[q:q + k] == v[p:p + k] for q in range(len(w) - k + 1))]
             covered = {p + j for p in at for j in range(k)}
             if at and (len(covered) >= dc.MIN_WORDS or len(covered) >= dc.MIN_COVERAGE * len(v)):
@@ -120,6 +188,21 @@ def test_windows_match_brute_force(spark):
     assert set(leaks(spark, texts, items)) == want and len(want) > 40
 
 
+def test_short_and_slot_rich_items_are_found_verbatim(spark):
+    rng = random.Random(9)
+    items = ["What is the capital of France", "How many legs does a spider have", "Who wrote it",
+             "In 1998 Anna paid 30 euros to Bob , 12 euros to Carl and 8 euros to Dora", "Bob has 5 pears and Carol has 7",
+             "1 2 3 4 5 6 7 8 9 10 11 12"]
+    texts = [f"{prose(rng, 40)} {t} {prose(rng, 40)}" for t in items]
+    other = [f"{prose(rng, 40)} {t} {prose(rng, 40)}" for t in (
+        "What is the capital of Peru", "How many legs does a crab have", "Bob has 6 pears and Carol has 9", "1 2 3 4 9 6 7 8 9 11 11 12",
+        "capital of France", "In 1998 Anna paid")]
+    got = leaks(spark, texts + other, list(enumerate(items)))
+    assert {(i, i) for i in (0, 1, 3, 4, 5)} <= set(got) and (2, 2) not in got
+    # without enough literals other values are another text; with them (five of six words) a name may change
+    assert {d for d, _ in got} - set(range(6)) <= {6}
+
+
 def test_odd_rows_and_clean_documents(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "Two words"), (None, "one"), (3, "Two words")],
                                   "item_id long, text string")

@@ -10,6 +10,13 @@ and the reverse.  Windows that contradict the commonest reading are dropped.  An
 item is found in a document when the windows that are left cover at least
 ``MIN_WORDS`` of its words or ``MIN_COVERAGE`` of them.
 
+Items shorter than a window are one window of their own size; documents get windows
+of every such size that the benchmark has, from ``SHORTEST`` words on (still shorter
+items are phrases that any text may hold: they match only texts of just these
+words).  A window with fewer than ``MIN_LITERALS`` words outside its slots says too
+little as a template: it is hashed with its slot values instead, so exact copies
+always meet and only re-parameterised ones need enough literals.
+
 A bitmap of the benchmark's window hashes (its size is fixed) lets tasks drop
 most windows of the corpus before the join; the join itself decides.
 """
@@ -27,7 +34,8 @@ from tierflow.llm.common import by_value, cut, read
 by_value(__name__)
 
 WINDOW = 8  # words
-MIN_LITERALS = 5  # of a window; fewer and the template says too little
+SHORTEST = 4  # words of an item that is looked for inside longer texts
+MIN_LITERALS = 5  # of a window; with fewer, its slots count by value
 MIN_WORDS = 10
 MIN_COVERAGE = 0.5
 FILTER_BITS = 1 << 24  # 2 MB
@@ -63,8 +71,10 @@ def _unit_hashes():
     return np.sort(vec.hash_spans(b, s, e))
 
 
-def templates(raw, off):
-    """(template value, is a slot, slot value, words per row) of the rows."""
+def templates(raw, off, quoted: bool = False):
+    """(template value, is a slot, slot value, words per row) of the rows; ``quoted``:
+    the first word of a row is read as one inside a sentence, where a capital makes a
+    name."""
     kind = _kinds()
     b, s, e, counts = vec.find_words(raw, off)
     n = len(s)
@@ -75,6 +85,8 @@ def templates(raw, off):
     begins = np.ones(n, dtype=bool)  # of a sentence: first word, new line, or after a full stop
     lines = np.concatenate([[0], np.cumsum(b == 10)])
     begins[1:] = (row[1:] != row[:-1]) | kind["stop"][b[e[:-1] - 1]] | (lines[s[1:]] != lines[e[:-1]])
+    if quoted:
+        begins[np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))] = False
     s, e = s.copy(), e.copy()
     outer = kind["outer"]
     while True:
@@ -113,9 +125,10 @@ def templates(raw, off):
     return token, is_number | is_name | is_unit, value, counts
 
 
-def windows(token, slot, counts, k: int):
-    """(hash, first word, words of the row) of the windows with enough literals;
-    a row of fewer words has one window."""
+def windows(token, value, slot, counts, k: int, only_longer: bool = False):
+    """(hash, first word, size, row, first word of the row) of all windows of ``k``
+    words.  A row of fewer words has one window; with ``only_longer`` it has none, and
+    neither has a row of just ``k`` words."""
     n = len(token)
     end = np.cumsum(counts)
     row = np.repeat(np.arange(len(counts)), counts)
@@ -125,26 +138,33 @@ def windows(token, slot, counts, k: int):
     fits = at + size <= end[row]
     short = counts[row] < k
     fits &= ~short | (at == start_of)
+    if only_longer:
+        fits &= counts[row] > k
+    at, size = at[fits], size[fits]
     up, down = vec.powers(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(token * up[:n], out=sums[1:])
     slots = np.concatenate([[0], np.cumsum(slot)])
-    at, size = at[fits], size[fits]
     literal = size - (slots[at + size] - slots[at])
     enough = literal >= np.minimum(MIN_LITERALS, size)
-    at, size = at[enough], size[enough]
-    h = vec.mix((sums[at + size] - sums[at]) * down[at] + size.astype(np.uint64))
+
+    def rolled(words, salt):
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(words * up[:n], out=sums[1:])
+        return vec.mix((sums[at + size] - sums[at]) * down[at] + size.astype(np.uint64) + np.uint64(salt))
+
+    h = np.where(enough, rolled(token, 0), rolled(value, 1 << 32))
     return h, at, size, row[at], start_of[at]
 
 
-def _found(column, ids, k: int, bits=None):
-    """Arrow batches ``id, pos, hash, words, slots`` of the windows of a column,
-    only those in ``bits`` if given; ``slots`` are the slot values with their
+def _found(column, ids, k: int, bits=None, sizes=()):
+    """Arrow batches ``id, pos, hash, words, slots`` of the windows of a column (of ``k``
+    words, and of ``sizes`` in longer rows), only those in ``bits`` if given (else they are
+    an item's, and those that it would have inside a sentence come as well); ``slots`` are the slot values with their
     places in the window, ``words`` the row's words."""
     raw, off = vec.utf8(column)
-    for lo, hi in vec.chunks(off):
-        token, slot, value, counts = templates(raw, off[lo:hi + 1])
-        h, at, size, row, start = windows(token, slot, counts, k)
+    for lo, hi, quoted in ((lo, hi, q) for lo, hi in vec.chunks(off) for q in ((False, True) if bits is None else (False,))):
+        token, slot, value, counts = templates(raw, off[lo:hi + 1], quoted)
+        parts = [windows(token, value, slot, counts, k), *[windows(token, value, slot, counts, x, True) for x in sizes]]
+        h, at, size, row, start = (np.concatenate(x) for x in zip(*parts, strict=True))
         if bits is not None:
             p = h & np.uint64(FILTER_BITS - 1)
             hit = (bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
@@ -163,13 +183,13 @@ def _found(column, ids, k: int, bits=None):
 FOUND = "id long, pos long, hash long, words long, slots array<bigint>"
 
 
-def window_table(df: DataFrame, id_col: str, text_col: str, k: int = WINDOW, bits=None) -> DataFrame:
+def window_table(df: DataFrame, id_col: str, text_col: str, k: int = WINDOW, bits=None, sizes=()) -> DataFrame:
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     shared = None if bits is None else df.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
         for batch in batches:
-            yield from _found(batch.column(1), batch.column(0), k, None if shared is None else shared.value)
+            yield from _found(batch.column(1), batch.column(0), k, None if shared is None else shared.value, sizes)
 
     return src.mapInArrow(run, FOUND)
 
@@ -234,11 +254,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     covered`` (words of the item), ``first_word, last_word`` (in the document's
     template words), ``reparameterised`` (slots with other values).
 
-    Null or empty texts, of either table, match nothing; texts of fewer words
-    than a window match as a whole.  Rows with the same id, repeated rows too,
+    Null or empty texts, of either table, match nothing; items of fewer words
+    than a window match as a whole, those under ``SHORTEST`` only whole texts.  Rows with the same id, repeated rows too,
     count as one document or item; null ids too.  Other columns are ignored."""
     items = cut(window_table(benchmark, item_col, item_text_col).distinct())
-    found = window_table(docs, id_col, text_col, bits=_bits(items))
+    short = items.filter(F.col("words").between(SHORTEST, WINDOW - 1)).select("words").distinct()
+    sizes = sorted(int(r["words"]) for r in short.collect())  # WINDOW - SHORTEST values at most
+    found = window_table(docs, id_col, text_col, bits=_bits(items), sizes=sizes)
     d = found.select(F.col("id").alias("doc_id"), F.col("pos").alias("d_pos"), "hash", F.col("slots").alias("d_slots"))
     i = items.select(F.col("id").alias("item_id"), F.col("pos").alias("i_pos"), "hash", F.col("words").alias("i_words"),
                      F.col("slots").alias("i_slots"))
