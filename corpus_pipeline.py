@@ -16,15 +16,13 @@ from tierflow.llm import decontamination, mixing, ngram_join, sharding, toxicity
 from tierflow.llm.common import fold, read
 from tierflow.session import work_dir
 
-REJECT_TOXIC = 0.5  # score from which a document goes: likelier toxic than not
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Compression-distance classification, trained on the labelled rows of
     ``docs`` outside the held-out fold."""
     labels = read(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold(F.col("doc_id"), 4) != 2)
     scored = toxicity.score(docs, toxicity.fit(docs, labels), out="__score", gain="__gain")
-    return scored.filter(F.col("__score") < REJECT_TOXIC).select(*docs.columns)
+    return scored.filter(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
