@@ -29,6 +29,10 @@ def test_measures_match_brute_force(spark, odd_docs, no_docs):
     assert sorted((str(r[0]), *r[1:]) for r in got.collect()) == want
     assert qr.apply_rules(no_docs).count() == 0
     assert qr.apply_rules(odd_docs, keep=("doc_id", "size", "node")).columns[:3] == ["doc_id", "size", "node"]
+    clash = odd_docs.withColumnRenamed("size", "n_words").withColumnRenamed("node", "kept")
+    got = qr.apply_rules(clash, keep=("doc_id", "n_words", "kept", "lang"))
+    assert got.columns[:2] == ["doc_id", "lang"] and got.columns.count("n_words") == 1 and got.columns.count("kept") == 1
+    assert sorted(r.n_words for r in got.collect()) == sorted(measures(r.text)[0] for r in odd_docs.collect())
 
 
 def test_rules_name_what_is_broken(spark):

@@ -75,6 +75,9 @@ def _repeat_words(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), 0).otherwise(found)
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_exclaims", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
 def measures(docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` and the measures of each text (all long).
 
@@ -82,7 +85,10 @@ def measures(docs: DataFrame, text_col: str = "text", keep: Sequence[str] = ("do
     ``n_exclaims``, ``n_stop_words``, ``n_lines`` (lines with a word),
     ``n_dup_lines`` (lines equal to an earlier line), ``n_repeat_words`` (words
     in 3-word windows that occur at least twice).  A null text counts as empty;
-    an empty text has 0 everywhere."""
+    an empty text has 0 everywhere.  Every row is measured by itself: repeated rows
+    and equal or null ids keep their rows, an empty table gives an empty result.
+    A kept column named like a new one gives way to it."""
+    keep = [c for c in keep if c not in (*MEASURES, "broken_rules", "kept")]
     kept = [F.col(f"`{c}`").alias(f"__keep_{i}") for i, c in enumerate(keep)]
     names = [f"__keep_{i}" for i in range(len(keep))]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
