@@ -24,12 +24,11 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_plan_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF0001)
-    got = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(got) >= 0
-        return
+        pytest.skip("no SQL for it: tested against brute force beside its operator")
+    df = E.queries()[name](spark, SF0001)
+    got = [tuple(r) for r in df.collect()]
     res = con.execute(sql)
     cols = [d[0] for d in res.description]
     want = res.fetchall()
