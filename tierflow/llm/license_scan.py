@@ -57,6 +57,17 @@ TEMPLATES = {
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met"),
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "LGPL-notice": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation"),
+    "AGPL-notice": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation"),
+    "CC-BY-SA-4.0": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+        "to this software to the public domain worldwide."),
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "All-rights-reserved": "All rights reserved.",
     "MPL-2.0-notice": (
