@@ -74,10 +74,10 @@ def test_trie_matches_brute_force_and_sums_to_one(order):
         assert (10 ** trie.log10(keys)).sum() == pytest.approx(1)
 
 
-def check(spark, docs, order=ppm.ORDER):
+def check(spark, docs, order=ppm.ORDER, hot_leaves=ppm.HOT_LEAVES):
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     train = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 != 0
-    out = ppm.score_documents(docs, train, order=order).collect()
+    out = ppm.score_documents(docs, train, order=order, hot_leaves=hot_leaves).collect()
     learn = [t for d, t in rows if zlib.crc32(("" if d is None else str(d)).encode()) % 3]
     c = Counter(w for t in learn for w in [*tokens(t), "\n"])
     n, v = sum(c.values()), len(c)
@@ -114,8 +114,20 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert untrained.score == pytest.approx(-11 * math.log10(256)) and untrained.n_known == 0
 
 
-def test_leaves_are_bounded(spark):
+def test_scores_are_exact_where_few_leaves_are_broadcast(spark, monkeypatch):
     rng = random.Random(2)
-    docs = spark.createDataFrame([(i, prose(rng, 200)) for i in range(50)], "doc_id long, text string")
-    model = ppm.fit(docs.select("text"), 8, 100_000, 3, max_nodes=300)
-    assert 0 < len(model.trie.levels[3]["keys"]) <= 300
+    rows = [(i, prose(rng, rng.randrange(80)) + f" näme{i % 7} Ω{i}") for i in range(120)]
+    docs = spark.createDataFrame(rows + [(500 + i, rows[i][1]) for i in range(10)], "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(ppm, "GROUP_BYTES", 100)  # salts too
+    check(spark, docs, 5, 40)
+    check(spark, docs, 2, 0)
+
+
+def test_no_context_is_left_out(spark):
+    docs = spark.createDataFrame([(i, f"wörd{i} common words") for i in range(50)], "doc_id long, text string")
+    src = docs.select("text", F.lit(True).alias("train"))
+    model = ppm.fit(src, 8, 100_000, 3, hot_leaves=30)
+    assert 0 < len(model.leaves) <= 30
+    cold = sum(r.entries for r in model.values.filter("kind = 1").collect())
+    seen = counts_of([t for _, t in docs.collect()], 3)
+    assert cold + len(model.leaves) == sum(len(c) for k, c in seen.items() if len(k) == 3)
