@@ -161,6 +161,9 @@ def run_update(spark: SparkSession, configs: Sequence[SourceConfig], store: Tabl
             store.set_meta(cfg.raw_table, comment=f"{cfg.name}: landing rows as text, by file",
                            properties=dict(cfg.table_properties))
         good = _each(res, {c.raw_table: partial(ingest.start_bronze, spark, c, store) for c in chosen}, log)
+        while more := [c for c in chosen if c.raw_table in good and ingest.more_files(c)]:
+            good -= {c.raw_table for c in more}
+            good |= _each(res, {c.raw_table: partial(ingest.start_bronze, spark, c, store) for c in more}, log)
         good = _each(res, {c.clean_table: partial(ingest.start_silver, spark, c, store, as_of)
                            for c in chosen if c.raw_table in good}, log)
         res.last_batches = {c.clean_table: b[-1] for c in chosen if (b := store.batches(c.clean_table))}

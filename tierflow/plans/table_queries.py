@@ -238,6 +238,22 @@ def q_stream_plain_append(spark, sf_dir):
     return spark.read.parquet(f"{root}/table")
 
 
+def q_stream_listing_by_names(spark, sf_dir):
+    """Bronze of files listed from the last name; the second drop's names sort before
+    those of the first, so only a full listing finds them."""
+    root = work_dir(spark, "names")
+    cfg = default_sources(f"{root}/landing", f"{root}/state", exchanges=("LSE",), clean_source="off",
+                          listing="names", full_listing_every=1, max_files_per_trigger=2)[0]
+    store = TableStore(spark, f"{root}/tables")
+    for drop, prefix in (("initial", "trades"), ("incremental", "late")):
+        write_landing(landing_frame(spark, sf_dir, "LSE", drop), f"{root}/landing", "LSE", prefix, "0")
+        have = -1
+        while have != len(store.batches(cfg.raw_table)):
+            have = len(store.batches(cfg.raw_table))
+            ingest.start_bronze(spark, cfg, store).awaitTermination()
+    return store.read_append(cfg.raw_table).select(*TRADE_LIST)
+
+
 # -- catalog ------------------------------------------------------------------------------------------
 def _published(spark, sf_dir) -> tuple[str, list[SourceConfig], TableStore]:
     store, configs, _, _ = pipeline_run(spark, sf_dir, incremental=True)
@@ -287,6 +303,7 @@ TABLE_QUERIES = {
     "stream_failure_isolation": q_stream_failure_isolation,
     "stream_additive_schema": q_stream_additive_schema,
     "stream_plain_append": q_stream_plain_append,
+    "stream_listing_by_names": q_stream_listing_by_names,
     "catalog_gold": q_catalog_gold,
     "catalog_properties": q_catalog_properties,
     "callable_rules": q_callable_rules,
@@ -349,6 +366,7 @@ TABLE_ORACLES = {
         f"CASE WHEN timestamp >= TIMESTAMP '{DROP_CUTOFF}' THEN 1 ELSE 0 END AS schema_version, count(*) AS rows "
         "FROM trades WHERE exchange = 'NASDAQ' GROUP BY 1, 2", clean=True),
     "stream_plain_append": with_trades(f"SELECT {_TEXT} FROM trades WHERE exchange = 'LSE'", clean=True),
+    "stream_listing_by_names": with_trades(f"SELECT {_TEXT} FROM trades WHERE exchange = 'LSE'", clean=True),
     "catalog_gold": with_trades(
         f"SELECT *, CAST(price * quantity AS DECIMAL(38,4)) AS trade_value FROM ({_SILVER_SQL}) s", clean=True),
     "catalog_properties": with_trades(

@@ -30,6 +30,7 @@ from tierflow.operators.quality import expect_all_or_fail
 from tierflow.operators.transforms import apply_sql_template
 from tierflow.sinks import paths
 from tierflow.sinks.tables import TableStore
+from tierflow.sources import listing
 from tierflow.sources.landing import LISTING_SCHEMA, read_files, read_headers
 
 
@@ -86,7 +87,19 @@ def batch_schema(cfg: SourceConfig, batch_id: int) -> tuple[int, list[str]] | No
     return version, schema_of_version(cfg, version)
 
 
+def names_log(cfg: SourceConfig) -> str:
+    return f"{cfg.checkpoint_path.rstrip('/')}/_names"
+
+
+def more_files(cfg: SourceConfig) -> bool:
+    """Whether a source that is listed by names has files for another run."""
+    return cfg.listing == "names" and listing.pending(cfg.source_path, names_log(cfg), cfg.file_pattern)
+
+
 def listing_stream(spark: SparkSession, cfg: SourceConfig):
+    if cfg.listing == "names":
+        return listing.names_stream(spark, cfg.source_path, names_log(cfg), cfg.file_pattern,
+                                    cfg.max_files_per_trigger, cfg.full_listing_every)
     r = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
          .option("recursiveFileLookup", True).option("pathGlobFilter", cfg.file_pattern)
          .option("maxFileAge", cfg.max_file_age)
