@@ -101,7 +101,7 @@ def test_assign_shards(spark, odd_docs, no_docs):
     assert sharding.assign_shards(spark, no_docs).count() == 0
 
 
-def test_url_rules_and_cascade(spark):
+def test_url_rules_and_cascade(spark, monkeypatch):
     rng = random.Random(4)
     hosts = [f"{rng.choice(['www.', '', 'a.b.'])}h{i}.example.{rng.choice(['net', 'com', 'org'])}" for i in range(700)]
     urls = [f"https://{h}{rng.choice(['', '/', '/fr/1', '/de/x?q', '/en/1#t', '/es/'])}" for h in hosts]
@@ -121,9 +121,15 @@ def test_url_rules_and_cascade(spark):
         return (host, path, max(fits)[1], max(fits)[2]) if fits else (host, path, None, "block" if hit else "allow")
 
     want = [(i, *judge(u)) for i, u in enumerate(urls + odd)]
-    for most in (url_filter.MAX_BYTES, 1):  # the cascade, and the join beyond its bound
+    passes, real = [], url_filter._judge_by_cascade
+    monkeypatch.setattr(url_filter, "_judge_by_cascade", lambda *a: passes.append(a[4:]) or real(*a))
+    for most in (url_filter.MAX_BYTES, url_filter.LEAST_BYTES):  # one cascade, and parts beyond its bound
         out = url_filter.judge(spark, pages, keys, max_bytes=most).select("page_id", "host", "path", "rule", "verdict")
         assert sorted(tuple(r) for r in out.collect()) == want
+    parts = passes[-1][1]
+    assert passes[0] == (0, 1) and parts > 1 and passes[-parts:] == [(p, parts) for p in range(parts)]
+    with pytest.raises(ValueError):
+        url_filter.judge(spark, pages, keys, max_bytes=1)
     none = url_filter.judge(spark, pages.limit(0), keys)
     assert none.count() == 0
     assert url_filter.judge(spark, pages, keys.limit(0)).filter("listed").count() == 0

@@ -9,8 +9,11 @@ key is listed if the first level that it fails is an even one (counted from 1).
 Each level is a few bits for each key that it holds, so the cascade is small
 beside the list, and urls are judged in place: no url is shuffled or joined.
 
-The cascade is broadcast only if its levels sum to at most ``max_bytes``; beyond
-that the urls' keys are joined with the list, with the same verdicts.
+A cascade is broadcast only if its levels sum to at most ``max_bytes``.  Beyond
+that the keys are split by hash into parts, twice as many until each part's cascade
+fits, and the urls pass one part's cascade after the other; between two parts they
+are written in the shared folder, so neither the driver nor a worker holds more
+than one part.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from tierflow.llm.common import ascii_lower, by_value, cut, read
 by_value(__name__)
 
 MAX_BYTES = 32 << 20
+LEAST_BYTES = 1 << 7  # a bound below this could not hold the few levels of one key
 RULES = (  # (host, path, verdict)
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -169,6 +173,10 @@ def build_cascade(inside: DataFrame, outside: DataFrame, max_bytes: int = MAX_BY
     return levels
 
 
+def _part(keys: DataFrame, part: int, parts: int) -> DataFrame:
+    return keys if parts == 1 else keys.filter(F.pmod("h1", F.lit(parts)) == part)
+
+
 def judge(spark: SparkSession, pages: DataFrame, listed_keys: DataFrame, rules: Sequence[tuple] = RULES,
           url_col: str = "url", max_bytes: int = MAX_BYTES) -> DataFrame:
     """``pages`` with ``host, path, rule, listed, verdict``.
@@ -177,7 +185,10 @@ def judge(spark: SparkSession, pages: DataFrame, listed_keys: DataFrame, rules:
     ignored.  ``verdict`` is the rule's, else ``block`` if a key of the url is
     listed, else ``allow``.  A url that is null or has no ``://`` has an empty
     host and path, fits no rule and is allowed.  Columns of the input with the
-    names of the new ones are replaced."""
+    names of the new ones are replaced.  An empty table gives an empty result,
+    repeated rows get equal verdicts."""
+    if max_bytes < LEAST_BYTES:
+        raise ValueError(f"max_bytes must be {LEAST_BYTES} or more")
     new = ("host", "path", "rule", "listed", "verdict")
     src = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in new],
                        host_of(F.col(f"`{url_col}`")).alias("host"), path_of(F.col(f"`{url_col}`")).alias("path"))
@@ -186,18 +197,26 @@ def judge(spark: SparkSession, pages: DataFrame, listed_keys: DataFrame, rules:
     universe = cut(src.select(F.explode(keys).alias("x")).select("x.*").distinct())
     inside = cut(universe.join(marks, ["h1", "h2"], "left_semi"))
     outside = cut(universe.join(marks, ["h1", "h2"], "left_anti"))
-    levels = build_cascade(inside, outside, max_bytes)
-    if levels is None:
-        out = _judge_by_join(src, keys, inside)
-    else:
-        out = _judge_by_cascade(spark, src, keys, levels)
+    src, parts, part = src.withColumn("listed", F.lit(False)), 1, 0
+    out = src
+    while part < parts:
+        levels = build_cascade(_part(inside, part, parts), _part(outside, part, parts), max_bytes)
+        if levels is None:  # the parts are too large: start again with smaller ones
+            out, parts, part = src, 2 * parts, 0
+            continue
+        out = _judge_by_cascade(spark, out, keys, levels, part, parts)
+        part += 1
+        if part < parts:
+            out = cut(out)
     rule = rule_of(F.col("host"), F.col("path"), rules)
     out = out.withColumn("rule", rule)
     verdict = F.coalesce(F.col("rule.verdict"), F.when(F.col("listed"), "block").otherwise("allow"))
     return out.withColumn("verdict", verdict).withColumn("rule", F.col("rule.rule"))
 
 
-def _judge_by_cascade(spark: SparkSession, src: DataFrame, keys: Column, levels: list) -> DataFrame:
+def _judge_by_cascade(spark: SparkSession, src: DataFrame, keys: Column, levels: list, part: int,
+                      parts: int) -> DataFrame:
+    """``src`` with ``listed``, its last column, true also where a key of this part is listed."""
     shared = spark.sparkContext.broadcast([vars(level) for level in levels])  # max_bytes at most
     wide = src.withColumn("__keys", keys)
 
@@ -206,25 +225,17 @@ def _judge_by_cascade(spark: SparkSession, src: DataFrame, keys: Column, levels:
         for batch in batches:
             col = batch.column(batch.num_columns - 1)
             flat, counts = col.flatten(), np.diff(np.asarray(col.offsets))
-            hit = listed(cascade, np.asarray(flat.field("h1")), np.asarray(flat.field("h2")))
+            h1, h2 = np.asarray(flat.field("h1")), np.asarray(flat.field("h2"))
+            hit = listed(cascade, h1, h2) & (h1 % parts == part)
             row = np.repeat(np.arange(len(counts)), counts)
             any_hit = np.bincount(row, weights=hit, minlength=len(counts)) > 0
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(any_hit)],
-                                             [*batch.schema.names[:-1], "listed"])
+            any_hit |= batch.column(batch.num_columns - 2).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(any_hit)], batch.schema.names[:-1])
 
-    schema = T.StructType([*src.schema.fields, T.StructField("listed", T.BooleanType())])
+    schema = T.StructType([*src.schema.fields[:-1], T.StructField("listed", T.BooleanType())])
     return wide.mapInArrow(run, schema)
 
 
-def _judge_by_join(src: DataFrame, keys: Column, inside: DataFrame) -> DataFrame:
-    """Beyond the bound: hosts with a listed key by a join, then urls by host."""
-    hosts = src.select("host", keys.alias("k")).distinct()
-    found = (hosts.select("host", F.explode("k").alias("x")).select("host", "x.*")
-             .join(inside, ["h1", "h2"], "left_semi").select("host").distinct().withColumn("__hit", F.lit(True)))
-    return src.join(found, "host", "left").withColumn("listed", F.coalesce("__hit", F.lit(False))).drop("__hit").select(
-        *src.columns, "listed")
-
-
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = spark.createDataFrame([(k,) for k in LISTED], "key string")
     out = judge(spark, read(spark, sf_dir, "pages").select("page_id", "url"), keys)
