@@ -51,7 +51,7 @@ END, SPACE = 10, 32
 BUCKET_BYTES = 16_000_000  # of text for each bucket of words
 WORD_BYTES = 6  # of a word's hash, besides its bucket
 GROUP_BYTES = 256_000_000  # of one word's or gram's postings in a bucket; beyond that it is salted
-FLUSH = 1 << 20
+FLUSH = 1 << 19  # entries that a task holds of each kind
 
 
 def byte_stream(b, starts, ends, counts, order: int = ORDER):
