@@ -35,7 +35,8 @@ from tierflow.streaming.metrics import PerformanceLog, performance
 from tierflow.streaming.windows import latest_windows, run_windows, windowed_counts
 
 LANDED = TRADE_LIST + ["ingestion_timestamp", "file_path"]
-RAGGED_FILES = 4
+RAGGED_FILES = 4  # parts
+RAGGED_ROWS = 1_000_000  # lines of a file, about
 MICRO_BATCHES = 120
 SLICES = 5
 FEED_BUCKETS = 64
@@ -44,25 +45,32 @@ FEED_BUCKETS = 64
 # -- records that do not have the header's number of fields ----------------------
 def _ragged_landing(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Trades as CSV lines: every fifth order has two surplus fields (one quoted, with
-    a comma), every seventh other one lacks the last two."""
+    a comma), every seventh other one lacks the last two.  A part has so many files that
+    each has about ``RAGGED_ROWS`` lines, dealt by a hash of the line after one header;
+    lines without an order stay in one file, which has none."""
     order = F.split("trade_id", "_")[1].cast("long")
-    t = trades(spark, sf_dir, clean=True).select(
+    lines = trades(spark, sf_dir, clean=True)
+    pieces = max(1, -(-lines.count() // (RAGGED_FILES * RAGGED_ROWS)))
+    t = lines.select(
         *TRADE_LIST, F.col("timestamp").alias("ingestion_timestamp"), F.col("source_file").alias("file_path"))
     whole = F.concat_ws(",", *[F.col(c).cast("string") for c in LANDED])
     short = F.concat_ws(",", *[F.col(c).cast("string") for c in LANDED[:-2]])
     line = (F.when(order % 5 == 0, F.concat(whole, F.lit(",X"), "symbol", F.lit(",\"a,b\"")))
             .when(order % 7 == 0, short).otherwise(whole))
-    rows = t.select((order % RAGGED_FILES).cast("int").alias("part"), F.lit(1).alias("at"), line.alias("value"))
-    heads = spark.range(RAGGED_FILES).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("at"),
-                                             F.lit(",".join(LANDED)).alias("value"))
-    (heads.unionByName(rows).repartition(RAGGED_FILES, "part").sortWithinPartitions("part", "at")
-     .select("part", "value").write.partitionBy("part").text(folder))
+    part = (order % RAGGED_FILES).cast("int")
+    piece = F.when(part.isNull(), 0).otherwise(F.pmod(F.xxhash64(line), F.lit(pieces))).cast("int")
+    rows = t.select(part.alias("part"), piece.alias("piece"), F.lit(1).alias("at"), line.alias("value"))
+    heads = spark.range(RAGGED_FILES * pieces).select(
+        (F.col("id") % RAGGED_FILES).cast("int").alias("part"), F.floor(F.col("id") / RAGGED_FILES).cast("int").alias("piece"),
+        F.lit(0).alias("at"), F.lit(",".join(LANDED)).alias("value"))
+    (heads.unionByName(rows).repartition(RAGGED_FILES * pieces, "part", "piece").sortWithinPartitions("part", "piece", "at")
+     .select("part", "piece", "value").write.partitionBy("part", "piece").text(folder))
 
 
 def q_landing_rescue(spark, sf_dir):
     folder = f"{work_dir(spark, 'ragged')}/landing"
     _ragged_landing(spark, sf_dir, folder)
-    rows = read_landing(spark, f"{folder}/part=*/*.txt")
+    rows = read_landing(spark, f"{folder}/part=*/piece=*/*.txt")
     return rows.select(*LANDED, "_rescued_data", F.regexp_extract("source_file", r"part=(\d+)/", 1).alias("part"))
 
 
