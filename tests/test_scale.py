@@ -2,6 +2,7 @@
 compaction without a sort, parts in several files, changes expanded in place."""
 
 from tests.conftest import rows
+from tierflow.operators.changefeed import change_feed
 from tierflow.plans import table_queries
 
 
@@ -16,3 +17,14 @@ def test_ragged_parts_are_dealt_to_files(spark, tmp, monkeypatch):
     monkeypatch.setattr(table_queries, "RAGGED_ROWS", 300)
     df = table_queries.q_landing_rescue(spark, sf)
     assert len(df.inputFiles()) > table_queries.RAGGED_FILES and rows(df) == want
+
+
+def test_changes_are_expanded_where_they_are(spark):
+    old, new = spark.range(0, 50), spark.range(40, 100).union(spark.range(90, 100))
+    feed = change_feed(old, new, 2)
+    got = feed.groupBy("_change_type").count().collect()
+    assert {r["_change_type"]: r["count"] for r in got} == {"insert": 60, "delete": 40}
+    # only groups beyond a chunk are dealt again
+    plan = feed._jdf.queryExecution().optimizedPlan().toString()
+    few, many = plan.split("RepartitionByExpression")
+    assert "<= 1000000" in few and "> 1000000" in many

@@ -7,9 +7,9 @@ count fell by n yields n ``delete`` rows.
 Plan: both versions are unioned with a +1/-1 tag and aggregated by the whole
 row in ONE shuffle (partial aggregation first, so a group of copies holding a
 large share of the table collapses to one row per task).  Groups whose count
-changed are expanded back into rows in chunks of at most ``chunk_rows``, and
-the chunks are spread over tasks, so a hot group never lands whole in one
-task."""
+changed are expanded back into rows: where they are, if these are at most
+``chunk_rows``, else in chunks of so many that are spread over tasks, so a hot
+group never lands whole in one task.  Both take the rows of the one shuffle."""
 
 from __future__ import annotations
 
@@ -39,10 +39,12 @@ def change_feed(old: DataFrame, new: DataFrame, to_version: int, chunk_rows: int
     net = net_changes(old, new)
     qcols = [F.col(f"`{c}`") for c in net.columns if c != "_net"]
     n = F.abs(F.col("_net"))
-    chunks = net.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk_rows).cast("bigint"))))
+    few = net.filter(n <= chunk_rows).withColumn("_size", n)
+    chunks = net.filter(n > chunk_rows).withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk_rows).cast("bigint"))))
     chunks = chunks.repartition(F.col("_chunk"), *qcols)
-    size = F.least(F.lit(chunk_rows).cast("bigint"), n - F.col("_chunk") * chunk_rows)
-    rows = chunks.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), size)))
+    many = chunks.withColumn("_size", F.least(F.lit(chunk_rows).cast("bigint"), n - F.col("_chunk") * chunk_rows))
+    rows = few.unionByName(many.drop("_chunk")).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))))
     kind = F.when(F.col("_net") > 0, F.lit("insert")).otherwise(F.lit("delete"))
     return rows.select(*qcols, kind.alias("_change_type"), F.lit(int(to_version)).alias("_commit_version"))
 
