@@ -1,9 +1,31 @@
 """Steps that must not grow with a task's share of the rows: writes without a shuffle,
 compaction without a sort, parts in several files, changes expanded in place."""
 
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
 from tierflow.operators.changefeed import change_feed
 from tierflow.plans import table_queries
+from tierflow.sinks.tables import TableStore, deal
+
+
+def test_optimized_writes_take_no_shuffle(spark, tmp):
+    store = TableStore(spark, tmp)
+    cores = spark.sparkContext.defaultParallelism
+    store.write_snapshot("t", spark.range(0, 4000, 1, 4 * cores), optimize_write=True, size_bytes=1)
+    store.append_batch("a", spark.range(0, 4000, 1, 4 * cores), 0, optimize_write=True, size_bytes=1)
+    for df in (store.read_version("t"), store.read("a")):
+        files = df.groupBy(F.input_file_name()).agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n")).collect()
+        assert 0 < len(files) <= cores and sum(r.n for r in files) == 4000
+        assert all(r.b - r.a + 1 == r.n for r in files)  # neighbours stayed together
+
+
+def test_rows_are_dealt_evenly_without_a_sort(spark, tmp):
+    src = spark.range(0, 1000, 1, 7).withColumn("k", F.lit("same"))
+    df = deal(src, 4)
+    assert "Sort" not in df._jdf.queryExecution().executedPlan().toString()
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) - min(sizes) <= 7 and rows(df) == rows(src)
 
 
 def test_ragged_parts_are_dealt_to_files(spark, tmp, monkeypatch):

@@ -101,25 +101,30 @@ def refresh_gold(spark: SparkSession, cfg: SourceConfig, store: TableStore) -> i
     return store.write_snapshot(cfg.transform_table, gold,
                                 comment=f"{cfg.name}: silver rows through the SQL template",
                                 properties=dict(cfg.table_properties), optimize_write=cfg.optimize_write,
-                                buckets=(["source_file"], cfg.change_buckets) if cfg.change_buckets else None)
+                                buckets=(["source_file"], cfg.change_buckets) if cfg.change_buckets else None,
+                                size_bytes=store.size_bytes(cfg.clean_table))
 
 
 def refresh_monitoring(store: TableStore, configs: Sequence[SourceConfig], as_of=None) -> dict:
-    bronze = [store.read(c.raw_table) for c in configs if store.stored_schema(c.raw_table)]
-    silver = [store.read(c.clean_table) for c in configs if store.stored_schema(c.clean_table)]
+    raw = [c.raw_table for c in configs if store.stored_schema(c.raw_table)]
+    clean = [c.clean_table for c in configs if store.stored_schema(c.clean_table)]
+    bronze, silver = [store.read(t) for t in raw], [store.read(t) for t in clean]
+    raw_bytes, clean_bytes = (sum(map(store.size_bytes, tables)) for tables in (raw, clean))
     out = {}
     if bronze:
         out["trade_changes_summary"] = store.write_snapshot(
             "trade_changes_summary", monitoring.changes_summary(bronze, as_of),
-            comment=MONITORING_COMMENTS["trade_changes_summary"], properties=MONITORING_PROPERTIES, optimize_write=True)
+            comment=MONITORING_COMMENTS["trade_changes_summary"], properties=MONITORING_PROPERTIES, optimize_write=True,
+            size_bytes=raw_bytes)
         out["file_ingestion_metrics"] = store.write_snapshot(
             "file_ingestion_metrics", monitoring.file_metrics(bronze, as_of),
-            comment=MONITORING_COMMENTS["file_ingestion_metrics"], properties=MONITORING_PROPERTIES, optimize_write=True)
+            comment=MONITORING_COMMENTS["file_ingestion_metrics"], properties=MONITORING_PROPERTIES, optimize_write=True,
+            size_bytes=raw_bytes)
     if silver:
         out["quality_changes_monitoring"] = store.write_snapshot(
             "quality_changes_monitoring", monitoring.quality_monitoring(silver, as_of),
             comment=MONITORING_COMMENTS["quality_changes_monitoring"], properties=MONITORING_PROPERTIES,
-            optimize_write=True)
+            optimize_write=True, size_bytes=clean_bytes)
     return out
 
 

@@ -25,8 +25,9 @@ from tierflow.plans.oracle import TRADE_COLS
 from tierflow.plans.pipeline import run_update
 from tierflow.plans.queries import ADAPTER_TYPES, DEC, EXCHANGES, RULES
 from tierflow.session import work_dir
-from tierflow.sinks.tables import TableStore, compact_table
-from tierflow.sources.adapter import AS_OF_SPARK, AS_OF_SQL, read_table, trades, trades_sql
+from tierflow.sinks.tables import TableStore, compact_table, deal
+from tierflow.sources.adapter import (AS_OF_SPARK, AS_OF_SQL, EXCHANGE_OF_LINE, LINE_COLUMNS, as_trades, read_table,
+                                      trades_sql)
 from tierflow.sources.generator import write_landing
 from tierflow.sources.landing import landing_files
 from tierflow.streaming import partials
@@ -45,17 +46,18 @@ SILVER_OUT = TRADE_LIST + ["ingestion_timestamp", "file_path", "_rescued_data",
 
 
 def landing_frame(spark: SparkSession, sf_dir: str, exchange: str, drop: str | None = None) -> DataFrame:
-    t = trades(spark, sf_dir, clean=True).filter(F.col("exchange") == exchange)
+    lines = read_table(spark, sf_dir, "lineitem").filter(F.expr(EXCHANGE_OF_LINE) == exchange)
     if drop == "initial":
-        t = t.filter(F.col("timestamp") < F.lit(DROP_CUTOFF).cast("timestamp_ntz"))
+        lines = lines.filter(F.col("l_shipdate") < F.lit(DROP_CUTOFF).cast("timestamp_ntz"))
     elif drop == "incremental":
-        t = t.filter(F.col("timestamp") >= F.lit(DROP_CUTOFF).cast("timestamp_ntz"))
-    df = t.select(*TRADE_LIST, F.col("timestamp").alias("ingestion_timestamp"), F.col("source_file").alias("file_path"))
+        lines = lines.filter(F.col("l_shipdate") >= F.lit(DROP_CUTOFF).cast("timestamp_ntz"))
+    # lines are narrower than trades: they are dealt to the files, then shaped
+    df = as_trades(deal(lines.select(*LINE_COLUMNS), FILES_PER_EXCHANGE), clean=True).select(*TRADE_LIST, F.col("timestamp").alias("ingestion_timestamp"), F.col("source_file").alias("file_path"))
     if exchange == "NASDAQ":
         df = df.withColumn("venue", F.col("market_center"))
     if exchange == "LSE":
         df = df.select(*reversed(df.columns))
-    return df.repartition(FILES_PER_EXCHANGE)
+    return df
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str, incremental: bool = False):

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 TRADE_COLUMNS = ["trade_id", "symbol", "exchange", "price", "quantity", "timestamp",
                  "trade_type", "market_center", "source_file"]
 
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+EXCHANGE_OF_LINE = "CASE l_linenumber % 3 WHEN 0 THEN 'NYSE' WHEN 1 THEN 'NASDAQ' ELSE 'LSE' END"
+
 # Pinned processing time used wherever a query must be comparable with SQL.
 AS_OF_TEXT = "2024-01-01 00:00:00"
 AS_OF_SPARK = f"TIMESTAMP_NTZ '{AS_OF_TEXT}'"
@@ -34,7 +37,7 @@ def _trade_exprs(clean: bool, s: str = "string") -> list[str]:
     return [
         f"concat('TRD_', cast(l_orderkey AS {s}), '_', cast(l_linenumber AS {s})) AS trade_id",
         f"concat('SYM_', cast(l_partkey % 10 AS {s})) AS symbol",
-        "CASE l_linenumber % 3 WHEN 0 THEN 'NYSE' WHEN 1 THEN 'NASDAQ' ELSE 'LSE' END AS exchange",
+        f"{EXCHANGE_OF_LINE} AS exchange",
         f"{_price_expr(clean, s)} AS price",
         "cast(l_quantity AS bigint) AS quantity",
         "l_shipdate AS timestamp",
@@ -64,7 +67,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def trades(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     """Typed trades: one row per lineitem row."""
-    return read_table(spark, sf_dir, "lineitem").selectExpr(*_trade_exprs(clean))
+    return as_trades(read_table(spark, sf_dir, "lineitem"), clean)
+
+
+def as_trades(lines: DataFrame, clean: bool = False) -> DataFrame:
+    return lines.selectExpr(*_trade_exprs(clean))
 
 
 def bronze_trades(spark: SparkSession, sf_dir: str, exchange: str | None = None, clean: bool = False) -> DataFrame:

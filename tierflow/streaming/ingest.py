@@ -34,6 +34,9 @@ from tierflow.sources import listing
 from tierflow.sources.landing import LISTING_SCHEMA, read_files, read_headers
 
 
+PACKED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+
+
 def schema_log(cfg: SourceConfig) -> str:
     return f"{cfg.checkpoint_path.rstrip('/')}/_schemas"
 
@@ -114,7 +117,7 @@ def listing_stream(spark: SparkSession, cfg: SourceConfig):
 def bronze_batch_writer(spark: SparkSession, cfg: SourceConfig, store: TableStore):
     def write(files_df, batch_id: int):
         # one micro-batch of file names, bounded by max_files_per_trigger
-        listed = files_df.select("path", "modificationTime").collect()
+        listed = files_df.select("path", "length", "modificationTime").collect()
         files = [r.path for r in sorted(listed, key=lambda r: (r.modificationTime, r.path))]
         if not files:
             return
@@ -129,7 +132,9 @@ def bronze_batch_writer(spark: SparkSession, cfg: SourceConfig, store: TableStor
         paths.write_text(f"{schema_log(cfg)}/batches/{batch_id}.json", json.dumps({"version": version}))
         df = read_files(spark, files, columns, headers, cfg.rescued_data_column)
         if df is not None:
-            store.append_batch(cfg.raw_table, df, batch_id, optimize_write=cfg.optimize_write)
+            packed = any(f.lower().endswith(PACKED) for f in files)  # read by one task each, however large
+            store.append_batch(cfg.raw_table, df.hint("rebalance") if packed and cfg.optimize_write else df, batch_id,
+                               optimize_write=cfg.optimize_write and not packed, size_bytes=sum(r.length for r in listed))
     return write
 
 
