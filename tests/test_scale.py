@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tierflow.operators.changefeed import change_feed
 from tierflow.plans import table_queries
-from tierflow.sinks.tables import TableStore, deal
+from tierflow.sinks import paths
+from tierflow.sinks.tables import MAX_RANGES, TableStore, batch_ranges, deal, files_for
 
 
 def test_optimized_writes_take_no_shuffle(spark, tmp):
@@ -28,6 +29,26 @@ def test_rows_are_dealt_evenly_without_a_sort(spark, tmp):
     assert len(sizes) == 4 and max(sizes) - min(sizes) <= 7 and rows(df) == rows(src)
 
 
+def test_compacted_files_hold_ranges_of_batches(spark, tmp):
+    store = TableStore(spark, tmp)
+    for b in range(9):
+        store.append_batch("t", spark.range(b * 1000, b * 1000 + 1000, 1, 2), b)
+    one = paths.total_size(f"{tmp}/t/batch_id=0")
+    want = rows(store.read_append("t"))
+    assert store.compact_append("t", target_bytes=one + one // 4) and rows(store.read_append("t")) == want
+    assert files_for(2 * one, one + one // 4) == 2
+    files = store.read_append("t").filter("batch_id < 8").groupBy(F.input_file_name().alias("f")).agg(
+        F.min("batch_id").alias("a"), F.max("batch_id").alias("b")).collect()
+    assert len(files) == 8 and all(r.b // 2 == r.a // 2 for r in files)  # two files for each two batches
+
+
+def test_ranges_of_batches_are_bounded():
+    folders = [(str(k), 10) for k in range(5000)]
+    got = batch_ranges(folders, 10)
+    assert len(got) <= 2 * MAX_RANGES and [f for some, _ in got for f in some] == [f for f, _ in folders]
+    assert batch_ranges([("a", 50), ("b", 5), ("c", 5), ("d", 5)], 5) == [(["a"], 50), (["b", "c"], 10), (["d"], 5)]
+
+
 def test_ragged_parts_are_dealt_to_files(spark, tmp, monkeypatch):
     sf = f"{tmp}/sf"
     spark.range(0, 3000, 1, 3).selectExpr(

@@ -23,6 +23,7 @@ import json
 import math
 import threading
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from tierflow.sinks import paths
 BUCKET = "_bucket"  # partition column of a version that is laid out for change feeds
 TURN = "__turn"
 CODEC = "zstd"  # about 0.7 of snappy's bytes
+MAX_RANGES = 200  # ranges of batches that one compaction reads apart, at most
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 # Streams of one driver run as threads and may append to one table: a table's
 # metadata is read, changed and written under this lock.
@@ -153,7 +155,9 @@ class TableStore:
         """Copy the closed batches that no segment covers yet into a new segment with
         files of about ``target_bytes`` and point batch readers at it.  A batch is closed
         once its stream has written a later one (the last may still be replayed).  Costs
-        one pass over the new batches; False if they are fewer than ``least_batches``."""
+        one pass over the new batches, without a shuffle or sort: a file holds the rows of
+        a short range of batches, so a reader of some batches skips the others' files.
+        False if they are fewer than ``least_batches``."""
         m = self.meta(name)
         part, segments = m.get("partition"), m.get("compacted") or []
         done = segments[-1]["through"] if segments else {}
@@ -163,17 +167,15 @@ class TableStore:
             return False
         through = {**done, **{v: bs[-1] for v, bs in closed.items()}}
         prefix = lambda v: f"{self.path(name)}/{part}={v}" if part else self.path(name)
-        size = sum(paths.total_size(f"{prefix(v)}/batch_id={b}") for v, bs in closed.items() for b in bs)
+        folders = [f"{prefix(v)}/batch_id={b}" for v, bs in closed.items() for b in bs]
         extra = ([T.StructField(part, T.StringType(), True)] if part else []) + [T.StructField("batch_id", T.IntegerType(), True)]
         full = T.StructType(list(self.stored_schema(name).fields) + extra)
-        rows = self.spark.read.schema(full).parquet(self.path(name)).filter(self._covered(part, through))
-        if done:
-            rows = rows.filter(~self._covered(part, done))
+        read = self.spark.read.schema(full).option("basePath", self.path(name))
+        ranges = batch_ranges([(f, paths.total_size(f)) for f in folders], target_bytes)
+        rows = reduce(DataFrame.unionAll, [read.parquet(*some).coalesce(files_for(size, target_bytes)) for some, size in ranges])
         with _META:  # a number that no segment ever had, valid or not
             number = max([-1, *[int(d) for d in paths.list_dirs(f"{self.path(name)}/_compacted") if d.isdigit()]]) + 1
-        # in the order of batches, so that a range of batches skips row groups
-        compact(rows, size, target_bytes).sortWithinPartitions("batch_id").write.mode("errorifexists").parquet(
-            f"{self.path(name)}/_compacted/{number}", compression=CODEC)
+        rows.write.mode("errorifexists").parquet(f"{self.path(name)}/_compacted/{number}", compression=CODEC)
         with _META:
             if (self.meta(name).get("compacted") or []) != segments:
                 return False  # a covered batch was written again meanwhile: this copy does not count
@@ -292,6 +294,21 @@ class TableStore:
                 "kind": m.get("kind")}
 
 
+def batch_ranges(folders: Sequence[tuple[str, int]], target_bytes: int) -> list[tuple[list[str], int]]:
+    """``folders`` (path, bytes) in order -> consecutive ones of up to two files'
+    ``target_bytes`` together (more, where that would make over ``MAX_RANGES`` ranges),
+    with their bytes.  Of several ranges some is larger than one file: a union of
+    ranges that all were read into one partition would be one partition."""
+    least = max(2 * target_bytes, sum(size for _, size in folders) // MAX_RANGES + 1)
+    out: list[tuple[list[str], int]] = []
+    for folder, size in folders:
+        if out and out[-1][1] + size <= least:
+            out[-1] = ([*out[-1][0], folder], out[-1][1] + size)
+        else:
+            out.append(([folder], size))
+    return out
+
+
 def files_for(size_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
     return max(1, math.ceil(size_bytes / max(1, target_bytes)))
 
