@@ -59,7 +59,9 @@ def test_ragged_parts_are_dealt_to_files(spark, tmp, monkeypatch):
     want = rows(table_queries.q_landing_rescue(spark, sf))
     monkeypatch.setattr(table_queries, "RAGGED_ROWS", 300)
     df = table_queries.q_landing_rescue(spark, sf)
-    assert len(df.inputFiles()) > table_queries.RAGGED_FILES and rows(df) == want
+    assert rows(df) == want
+    sizes = [r["count"] for r in df.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 3 * table_queries.RAGGED_FILES and max(sizes) < 2 * 300
 
 
 def test_changes_are_expanded_where_they_are(spark):

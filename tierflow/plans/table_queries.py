@@ -63,7 +63,8 @@ def _ragged_landing(spark: SparkSession, sf_dir: str, folder: str) -> None:
     heads = spark.range(RAGGED_FILES * pieces).select(
         (F.col("id") % RAGGED_FILES).cast("int").alias("part"), F.floor(F.col("id") / RAGGED_FILES).cast("int").alias("piece"),
         F.lit(0).alias("at"), F.lit(",".join(LANDED)).alias("value"))
-    (heads.unionByName(rows).repartition(RAGGED_FILES * pieces, "part", "piece").sortWithinPartitions("part", "piece", "at")
+    file = F.coalesce("part", F.lit(0)) * pieces + F.col("piece")
+    (heads.unionByName(rows).repartitionById(RAGGED_FILES * pieces, file).sortWithinPartitions("part", "piece", "at")
      .select("part", "piece", "value").write.partitionBy("part", "piece").text(folder))
 
 
