@@ -4,6 +4,7 @@ compaction without a sort, parts in several files, changes expanded in place."""
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tierflow.operators import changefeed
 from tierflow.operators.changefeed import change_feed
 from tierflow.plans import table_queries
 from tierflow.sinks import paths
@@ -73,3 +74,14 @@ def test_changes_are_expanded_where_they_are(spark):
     plan = feed._jdf.queryExecution().optimizedPlan().toString()
     few, many = plan.split("RepartitionByExpression")
     assert "<= 1000000" in few and "> 1000000" in many
+
+
+def test_bucketed_changes_with_copies_beyond_a_chunk(spark, tmp, monkeypatch):
+    store = TableStore(spark, tmp)
+    old = spark.range(0, 40).selectExpr("id", "concat('f', id % 4) AS f")
+    new = old.union(spark.range(0, 30).selectExpr("7L AS id", "'f3' AS f"))
+    v1, v2 = (store.write_snapshot("t", df, buckets=(["f"], 8)) for df in (old, new))
+    feed = change_feed
+    monkeypatch.setattr(changefeed, "change_feed", lambda *a, **kw: feed(*a, **kw, chunk_rows=10))
+    got = changefeed.bucketed_change_feed(store, "t", v1, v2)
+    assert rows(got) == [(7, "f3", "insert", 2)] * 30

@@ -35,7 +35,9 @@ def net_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.groupBy(*qcols).agg(F.sum("_d").alias("_net")).filter(F.col("_net") != 0)
 
 
-def change_feed(old: DataFrame, new: DataFrame, to_version: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def change_feed(old: DataFrame, new: DataFrame, to_version: int, chunk_rows: int = CHUNK_ROWS,
+                most: int | None = None) -> DataFrame:
+    """``most``: copies that a row has in either version at most, where that is known."""
     net = net_changes(old, new)
     qcols = [F.col(f"`{c}`") for c in net.columns if c != "_net"]
     n = F.abs(F.col("_net"))
@@ -44,7 +46,8 @@ def change_feed(old: DataFrame, new: DataFrame, to_version: int, chunk_rows: int
         "_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk_rows).cast("bigint"))))
     chunks = chunks.repartition(F.col("_chunk"), *qcols)
     many = chunks.withColumn("_size", F.least(F.lit(chunk_rows).cast("bigint"), n - F.col("_chunk") * chunk_rows))
-    rows = few.unionByName(many.drop("_chunk")).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))))
+    sized = few if most is not None and most <= chunk_rows else few.unionByName(many.drop("_chunk"))
+    rows = sized.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))))
     kind = F.when(F.col("_net") > 0, F.lit("insert")).otherwise(F.lit("delete"))
     return rows.select(*qcols, kind.alias("_change_type"), F.lit(int(to_version)).alias("_commit_version"))
 
@@ -66,8 +69,10 @@ def bucketed_change_feed(store, name: str, from_version: int, to_version: int) -
     buckets = changed_buckets(store, name, from_version, to_version)
     if buckets is None:
         return change_feed(store.read_version(name, from_version), store.read_version(name, to_version), to_version)
+    marks = [store.fingerprint(name, v)["buckets"] for v in (from_version, to_version)]
+    most = max((m[str(b)][0] for m in marks for b in buckets if str(b) in m), default=0)  # a row's copies share its bucket
     return change_feed(store.read_buckets(name, from_version, buckets), store.read_buckets(name, to_version, buckets),
-                       to_version)
+                       to_version, most=most)
 
 
 def append_changes(table: DataFrame, from_batch: int, to_batch: int, batch_col: str = "batch_id") -> DataFrame:
