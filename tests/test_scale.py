@@ -67,13 +67,15 @@ def test_ragged_parts_are_dealt_to_files(spark, tmp, monkeypatch):
 
 def test_changes_are_expanded_where_they_are(spark):
     old, new = spark.range(0, 50), spark.range(40, 100).union(spark.range(90, 100))
-    feed = change_feed(old, new, 2)
-    got = feed.groupBy("_change_type").count().collect()
-    assert {r["_change_type"]: r["count"] for r in got} == {"insert": 60, "delete": 40}
-    # only groups beyond a chunk are dealt again
-    plan = feed._jdf.queryExecution().optimizedPlan().toString()
-    few, many = plan.split("RepartitionByExpression")
-    assert "<= 1000000" in few and "> 1000000" in many
+    most = changefeed.most_copies(old, new)
+    assert 2 <= most <= 70 and changefeed.most_copies(spark.range(0)) == 0
+    assert changefeed.most_copies(spark.range(0, 500).selectExpr("id div 400 AS x", "cast(null AS int) AS y")) == 400
+    for chunk in (most, most - 1, 1):
+        feed = change_feed(old, new, 2, chunk_rows=chunk, most=most)
+        got = feed.groupBy("_change_type").count().collect()
+        assert {r["_change_type"]: r["count"] for r in got} == {"insert": 60, "delete": 40}
+        # changed groups are dealt again only where one may be larger than a chunk
+        assert ("RepartitionByExpression" in feed._jdf.queryExecution().optimizedPlan().toString()) == (chunk < most)
 
 
 def test_bucketed_changes_with_copies_beyond_a_chunk(spark, tmp, monkeypatch):

@@ -7,9 +7,10 @@ count fell by n yields n ``delete`` rows.
 Plan: both versions are unioned with a +1/-1 tag and aggregated by the whole
 row in ONE shuffle (partial aggregation first, so a group of copies holding a
 large share of the table collapses to one row per task).  Groups whose count
-changed are expanded back into rows: where they are, if these are at most
-``chunk_rows``, else in chunks of so many that are spread over tasks, so a hot
-group never lands whole in one task.  Both take the rows of the one shuffle."""
+changed are expanded back into rows in chunks of at most ``chunk_rows``, and
+the chunks are spread over tasks, so a hot group never lands whole in one task.
+Where a count by hash buckets (``most_copies``, one scan, a few numbers shuffled) shows
+that no row has so many copies, groups are expanded where they are."""
 
 from __future__ import annotations
 
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_ROWS = 1_000_000
+COPY_BUCKETS = 1 << 16
 
 
 def _align(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -35,18 +37,28 @@ def net_changes(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.groupBy(*qcols).agg(F.sum("_d").alias("_net")).filter(F.col("_net") != 0)
 
 
+def most_copies(*versions: DataFrame) -> int:
+    """No row of a version has more copies than this: rows of its fullest hash bucket.
+    Different rows of one bucket can only make it larger."""
+    def fullest(df):
+        bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(COPY_BUCKETS))
+        return df.groupBy(bucket.alias("b")).count().agg(F.max("count")).first()[0] or 0
+    return max(map(fullest, versions))
+
+
 def change_feed(old: DataFrame, new: DataFrame, to_version: int, chunk_rows: int = CHUNK_ROWS,
                 most: int | None = None) -> DataFrame:
-    """``most``: copies that a row has in either version at most, where that is known."""
+    """``most``: copies that a row has in either version at most, where that is known
+    (``most_copies``)."""
     net = net_changes(old, new)
     qcols = [F.col(f"`{c}`") for c in net.columns if c != "_net"]
     n = F.abs(F.col("_net"))
-    few = net.filter(n <= chunk_rows).withColumn("_size", n)
-    chunks = net.filter(n > chunk_rows).withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk_rows).cast("bigint"))))
-    chunks = chunks.repartition(F.col("_chunk"), *qcols)
-    many = chunks.withColumn("_size", F.least(F.lit(chunk_rows).cast("bigint"), n - F.col("_chunk") * chunk_rows))
-    sized = few if most is not None and most <= chunk_rows else few.unionByName(many.drop("_chunk"))
+    if most is not None and most <= chunk_rows:
+        sized = net.withColumn("_size", n)
+    else:
+        chunks = net.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk_rows).cast("bigint"))))
+        chunks = chunks.repartition(F.col("_chunk"), *qcols)
+        sized = chunks.withColumn("_size", F.least(F.lit(chunk_rows).cast("bigint"), n - F.col("_chunk") * chunk_rows))
     rows = sized.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_size"))))
     kind = F.when(F.col("_net") > 0, F.lit("insert")).otherwise(F.lit("delete"))
     return rows.select(*qcols, kind.alias("_change_type"), F.lit(int(to_version)).alias("_commit_version"))
@@ -71,8 +83,8 @@ def bucketed_change_feed(store, name: str, from_version: int, to_version: int) -
         return change_feed(store.read_version(name, from_version), store.read_version(name, to_version), to_version)
     marks = [store.fingerprint(name, v)["buckets"] for v in (from_version, to_version)]
     most = max((m[str(b)][0] for m in marks for b in buckets if str(b) in m), default=0)  # a row's copies share its bucket
-    return change_feed(store.read_buckets(name, from_version, buckets), store.read_buckets(name, to_version, buckets),
-                       to_version, most=most)
+    old, new = (store.read_buckets(name, v, buckets) for v in (from_version, to_version))
+    return change_feed(old, new, to_version, most=most if most <= CHUNK_ROWS else most_copies(old, new))
 
 
 def append_changes(table: DataFrame, from_batch: int, to_batch: int, batch_col: str = "batch_id") -> DataFrame:

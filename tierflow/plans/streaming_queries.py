@@ -156,8 +156,8 @@ def q_stream_change_feed(spark, sf_dir):
     feeds = []
     for c in configs:
         v1, v2 = (r.gold_versions[c.transform_table] for r in results)
-        feeds.append(changefeed.change_feed(store.read_version(c.transform_table, v1),
-                                            store.read_version(c.transform_table, v2), to_version=v2))
+        old, new = (store.read_version(c.transform_table, v) for v in (v1, v2))
+        feeds.append(changefeed.change_feed(old, new, to_version=v2, most=changefeed.most_copies(old, new)))
     feed = union_tier(feeds)
     return feed.select(*SILVER_OUT, F.col("trade_value").cast(DEC).alias("trade_value"), "_change_type",
                        "_commit_version")
