@@ -55,62 +55,44 @@ def test_labels_of_one_class_or_none(spark, toxic):
 
 
 def test_score_matches_a_plain_model(spark):
-    """The model once more in plain loops: contexts, z-values, samples, dictionaries
-    from zstandard's trainer, windows, excess over ordinary windows, steps."""
+    """The model once more in plain loops: texts dealt to the pairs, dictionaries from
+    zstandard's trainer, windows, gates, excess over ordinary windows, steps."""
     import math
     import re
-    from collections import defaultdict
+    import zlib
 
     import zstandard
     docs, labels = labelled(7, 500)
     d = spark.createDataFrame(docs, "doc_id long, text string")
     lab = spark.createDataFrame(labels, "doc_id long, toxic int")
     model = tx.fit(d, lab)
-    aside = {r.doc_id for r in d.filter(tx.F.pmod(tx.F.xxhash64(tx.F.col("doc_id").cast("string")), tx.F.lit(tx.CALIBRATION)) == 0).collect()}
-    contexts = defaultdict(dict)
-    for (i, text), (_, t) in zip(docs, labels, strict=True):
-        if i not in aside:
-            w = [""] + [x for x in re.split(tx.SPLIT, text.lower()) if x] + [""]
-            for p, x, n in zip(w, w[1:], w[2:]):
-                contexts[x][p, n] = max(t, contexts[x].get((p, n), 0))
-    a, n = defaultdict(int), defaultdict(int)
-    for x, c in contexts.items():
-        for h in {x[:k] for k in (5, 6) if len(x) >= k} | ({x + " "} if 4 <= len(x) <= 6 else set()):
-            a[h] += sum(c.values())
-            n[h] += len(c)
-    every = [v for c in contexts.values() for v in c.values()]
-    share = sum(every) / len(every)
-    z = {h: (a[h] - n[h] * share) / math.sqrt(n[h] * share * (1 - share)) for h in n}
-    toxic = []
-    for h in sorted((h for h in z if z[h] >= tx.MIN_Z and a[h] >= 3), key=lambda h: (-z[h], -len(h), h)):
-        if not any(h.startswith(t) or t.startswith(h) for t in toxic):
-            toxic.append(h)
-    assert {t.strip() for t in toxic} >= {"viles", "rotte", "foulm", "creti"} or len(toxic) >= 4
-
-    def trained(words):
-        total = defaultdict(int)
-        for x, k in words:
-            total[x.encode()[:7]] += k
-        order = sorted(((x, k) for x, k in total.items() if k), key=lambda e: (-e[1], e[0].hex()))
-        text = [(b"\0\x01\x02" + x) * 3 + b"\0" for x, _ in order]
-        turns = [t for r in range(16) for t, (_, k) in zip(text, order, strict=True) if k > r]
-        try:
-            return zstandard.train_dictionary(16384, turns, k=40, d=6).as_bytes() if turns else b""
-        except zstandard.ZstdError:
-            return b"".join(reversed(text))[-16384:]
-
-    begins = {x for x in contexts if any((x + " ").startswith(t) for t in toxic)}
-    alike = {x for x in contexts if x not in begins and any((x + " ")[:5] == t[:5] for t in toxic)}
-    assert model["toxic"] == trained([(x, sum(contexts[x].values())) for x in begins])
-    assert model["plain"] == trained([(x, len(contexts[x]) - sum(contexts[x].values())) for x in alike])
-    ca, co = tx.compressor(model["toxic"]), tx.compressor(model["plain"])
-
-    def gain(text):
-        m = re.sub(tx.SPLIT, "\x01\x02", " " + text.lower() + " ").encode()
-        at = range(0, max(1, len(m) - 512 + 496), 496)
-        return sum(max(0, len(co.compress(m[i:i + 512])) - len(ca.compress(m[i:i + 512]))) for i in at), len(at)
-
-    gains = {i: gain(t) for i, t in docs}
+    key = tx.F.col("doc_id").cast("string")
+    aside = {r.doc_id for r in d.filter(tx.F.pmod(tx.F.xxhash64(key), tx.F.lit(tx.CALIBRATION)) == 0).collect()}
+    dealt = d.select("doc_id", *[tx.F.pmod(tx.F.xxhash64(key, tx.F.lit(k)), tx.F.lit(1_000_003)).alias(f"p{k}")
+                                 for k in range(tx.PAIRS)]).collect()
+    marked = {i: re.sub(r"[^0-9a-z\x80-\U0010ffff]+", "\x01\x02", f" {t.lower()} ").encode() for i, t in docs}
+    of = dict(labels)
+    count = [sum(of[i] == c for i in of if i not in aside) for c in (0, 1)]
+    each = max(1.0, min(480, min(count) / 2))
+
+    def trained(c, k):
+        texts = [marked[r.doc_id] for r in dealt if r.doc_id not in aside and of[r.doc_id] == c
+                 and r[f"p{k}"] < each / count[c] * 1_000_003]
+        pieces = [t[i:i + 512] for t in sorted(texts, key=lambda t: (zlib.crc32(t), t)) for i in range(0, len(t), 512)]
+        return zstandard.train_dictionary(8192, [x for x in pieces if len(x) >= 8], k=8, d=6).as_bytes()
+
+    assert model["toxic"] == [trained(1, k) for k in range(12)] and model["plain"] == [trained(0, k) for k in range(12)]
+    ca, co = [[tx.compressor(x) for x in model[c]] for c in ("toxic", "plain")]
+
+    def gain(m):
+        at, total = range(0, max(1, len(m)), 40), 0
+        for i in at:
+            g = [len(o.compress(m[i:i + 40])) - len(a.compress(m[i:i + 40])) for a, o in zip(ca, co, strict=True)]
+            if g[0] >= 1 and sum(g[:3]) >= 4:
+                total += max(0, sum(g) - 24)
+        return total, len(at)
+
+    gains = {i: gain(marked[i]) for i, _ in docs}
     clean = [gains[i] for i, t in labels if i in aside and not t]
     mean = sum(g for g, _ in clean) / sum(k for _, k in clean)
     var = sum((g - mean * k) ** 2 for g, k in clean) / sum(k for _, k in clean)
@@ -122,6 +104,26 @@ def test_score_matches_a_plain_model(spark):
         assert r.gain == g and r.score == pytest.approx(0.99 * step + 0.01 * (0.5 + e / (abs(e) + 10) / 2), abs=1e-9)
 
 
+def test_dictionaries_are_trained_on_whole_texts(spark):
+    """The classes differ by a phrase whose words stand apart in the other class: no
+    choice of words tells them, the texts do."""
+    rng, docs, labels = random.Random(11), [], []
+    phrase = ["kalithe", "semoden", "puraga", "tigali", "nonethe"]
+    for i in range(750):
+        w, toxic = prose(rng, rng.randint(60, 200)).split(), int(rng.random() < 0.25)
+        for _ in range(6):
+            at = rng.randrange(len(w))
+            w[at:at] = phrase if toxic else [f"{prose(rng, 1)} {x}" for x in rng.sample(phrase, len(phrase))]
+        docs.append((i, " ".join(w)))
+        labels.append((i, toxic))
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    model = tx.fit(d, spark.createDataFrame(labels[:600], "doc_id long, toxic int"))
+    assert len(model["toxic"]) == len(model["plain"]) == 12
+    got = {r.doc_id: r.score for r in tx.score(d, model).collect()}
+    toxic, clean = [[got[i] for i, t in labels[600:] if t == c] for c in (1, 0)]
+    assert sum(a > b for a in toxic for b in clean) >= 0.75 * len(toxic) * len(clean)
+
+
 def test_windows_match_a_plain_loop():
     a, b = (tx.compressor(b"\0" + tx.MARK + w) for w in (b"rottenfoulmouth", b"zzzzzz"))
     text = prose(random.Random(1), 5000) + " rottenfoulmouth end"

@@ -1,29 +1,25 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text.
-A document's text is compressed window by window with either; what the toxic
-dictionary saves over the ordinary one, in windows where it saves at least
-``MIN_GAIN`` bytes, is the text's gain.  The gain is set against the number of
-windows (mean and variance of a window of ordinary text), and a monotone table
-turns it into a score from 0 to 1.  Both are calibrated on labelled rows that did
-not train the dictionaries.
-
-Training.  A dictionary trained on whole texts holds the commonest strings; those
-are ordinary words in both classes, and the lengths then differ by chance alone.
-So the trainer gets samples in which the classes differ: beginnings of words that
-appear in more distinct contexts (word before, word, word after) in texts of one
-class than of the other, by the z-value of the two shares.  The words of toxic
-texts that begin so are the samples of the toxic dictionary; the words of ordinary
-text that could be mistaken for them, as they begin with the same bytes that a
-match needs, are those of the ordinary one, so that such words gain nothing.
-zstandard's own trainer chooses the content of either.  Counting contexts, not
-texts, keeps a family of near copies from voting many times.
-
-Words are compressed in lower case behind a mark of two bytes, and a match takes
-in the mark: the middle of a word never matches.  A sample is a few repetitions of
-mark and word, parted by a byte that no text has, so that the pieces which the
-trainer cuts hold whole words.  Windows are compressed without checksum, size or
-literal coding, so that lengths differ by matches alone.
+``PAIRS`` pairs of zstandard dictionaries are trained, one of a pair on toxic and one
+on ordinary texts.  A document's text is compressed window by window with both; what
+the toxic dictionaries save over the ordinary ones, beyond ``FLOOR`` bytes of a pair,
+is the text's gain.  The gain is set against the number of windows (mean and variance
+of a window of ordinary text), and a monotone table turns it into a score from 0 to 1.
+Both are calibrated on labelled rows that did not train the dictionaries.
+
+Training.  zstandard's own trainer gets the whole texts, in pieces of ``PIECE`` bytes,
+and chooses the content of a dictionary by what they repeat.  Much of it is ordinary
+in both classes, and chance decides which ordinary strings a dictionary of a few
+kilobytes holds; one pair's lengths differ by chance more than by class.  So each pair
+trains on texts of its own, drawn by the hash of the id (as many of either class): what
+most toxic dictionaries hold and few ordinary ones is what the classes differ in, and
+chance evens out over the pairs.
+
+A window that the first pairs do not compress better goes no further (``GATES``): its
+gain is 0.  Windows are short, so that a word or two decide, and they are compressed
+without checksum, size or literal coding, so that lengths differ by matches alone.
+Words are compressed in lower case behind a mark of two bytes, which parts them alike
+whatever stood between them.
 
 Defined results: null and empty texts have gain 0 and a score like any text without
 a match; repeated rows score alike, each with its row; texts of any length are
@@ -34,7 +30,7 @@ labels of both classes every row has the share of toxic labels (0 without any).
 from __future__ import annotations
 
 import math
-import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -48,133 +44,115 @@ from tierflow.llm.common import by_value, cut, fold, read
 by_value(__name__)
 
 MAX_TRAIN = 2048  # labelled rows of each class that are used to train, at most
-SEGMENTS = 256  # words of a dictionary, at most
-MIN_Z = 6.0
-SPLIT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # ASCII other than letters and digits
+PAIRS = 12  # of dictionaries
+BAG = 480  # texts of either class that train a dictionary, about; half of the smaller class at most
+WORD_BYTES = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))  # ASCII letters and digits, other scripts
 MARK = b"\x01\x02"  # stands before each word
-MIN_MATCH = 7  # bytes; the mark and at least five of a word
-HEAD, WHOLE = (5, 6), (4, 6)  # bytes of what is counted: beginnings of words, whole words
-SAMPLE_BYTES = 7  # of a word in a sample
-SAMPLES = 16_384  # different words of a dictionary's samples, at most; each up to REPEATS times
-REPEATS = 16
-DICTIONARY_BYTES, PIECE_BYTES, CORE_BYTES = 16_384, 40, 6  # of the trainer
+MIN_MATCH = 5  # bytes
+DICTIONARY_MAGIC = b"\x37\xa4\x30\xec"  # what zstandard trains begins so
+PIECE = 512  # bytes of a sample of the trainer
+DICTIONARY_BYTES, PIECE_BYTES, CORE_BYTES = 8192, 8, 6  # of the trainer
 CALIBRATION = 4  # one in so many training rows calibrates
-MIN_GAIN = 1  # bytes
-WINDOW, STEP = 512, 496  # bytes; neighbours overlap by more than a word
+FLOOR = 2  # bytes of a pair that a window must gain before its gain counts
+GATES = ((1, 1.0), (3, 1.3))  # after so many pairs a window must have gained so many bytes of each
+WINDOW, STEP = 40, 40  # bytes
 THRESHOLD = 0.3
 
 
-def contrast_samples(train: DataFrame, segments: int = SEGMENTS, min_z: float = MIN_Z) -> tuple[list, list]:
-    """``train(text, toxic)`` -> (toxic samples, ordinary samples): pairs of a word's
-    first bytes and the number of its contexts, most first.  At most ``segments``
-    beginnings (or whole short words) tell the classes apart; of several that contain
-    one another only the strongest, or else the longest, counts."""
-    w = F.array_remove(F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), SPLIT), "")
-    src = train.select("toxic", F.concat(F.array(F.lit("")), w, F.array(F.lit(""))).alias("w"))
-    at = F.transform(F.sequence(F.lit(2), F.size("w") - 1), lambda k: F.struct(
-        F.element_at("w", k).alias("word"),
-        F.xxhash64(F.element_at("w", k - 1), F.element_at("w", k + 1)).alias("context")))
-    seen = (src.filter(F.size("w") > 2).select("toxic", F.explode(at).alias("x"))
-            .groupBy("x.word", "x.context").agg(F.max("toxic").alias("toxic")))
-    per_word = cut(seen.groupBy("word").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")))
-    heads = F.transform(F.sequence(F.lit(1), F.least(F.length("word"), F.lit(HEAD[1]))),
-                        lambda k: F.substring("word", F.lit(1), k))
-    heads = F.filter(heads, lambda x: F.octet_length(x).between(*HEAD))
-    whole = F.when(F.octet_length("word").between(*WHOLE), F.array(F.concat("word", F.lit(" ")))).otherwise(F.array())
-    per = (per_word.select(F.explode(F.concat(heads, whole)).alias("word"), "a", "n")
-           .groupBy("word").agg(F.sum("a").alias("a"), F.sum("n").alias("n")))
-    total = per_word.agg(F.sum("a"), F.sum("n")).first()
-    all_a, all_n = int(total[0] or 0), int(total[1] or 0)
-    if all_a == 0 or all_a == all_n:
-        return [], []
-    share = all_a / all_n
-    # z-value of the share of toxic contexts of a segment against the share of all
-    z = (F.col("a") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
-    strong = (per.withColumn("z", z).filter((F.col("z") >= min_z) & (F.col("a") >= 3))
-              .orderBy(F.col("z").desc(), F.length("word").desc(), "word").limit(segments * 4).collect())
-    toxic = []
-    for r in strong:
-        if not any(r["word"].startswith(t) or t.startswith(r["word"]) for t in toxic):
-            toxic.append(r["word"])
-    toxic = toxic[:segments]
-    if not toxic:
-        return [], []
-    word = F.encode(F.concat("word", F.lit(" ")), "UTF-8")
-    begins = F.lit(False)
-    for t in toxic:
-        begins |= F.startswith("word", F.lit(t)) if not t.endswith(" ") else F.col("word") == t[:-1]
-    core = MIN_MATCH - len(MARK)
-    alike = F.hex(F.substring(word, 1, core)).isin(*sorted({t.encode()[:core].hex().upper() for t in toxic}))
-
-    def top(rows, weight):
-        sample = F.hex(F.substring(F.encode("word", "UTF-8"), 1, SAMPLE_BYTES)).alias("sample")
-        got = (rows.filter(weight > 0).groupBy(sample).agg(F.sum(weight).alias("weight"))
-               .orderBy(F.col("weight").desc(), "sample").limit(SAMPLES).collect())
-        return [(bytes.fromhex(r["sample"]), int(r["weight"])) for r in got]
-
-    return top(per_word.filter(begins), F.col("a")), top(per_word.filter(alike & ~begins), F.col("n") - F.col("a"))
-
-
-def trained(samples: list) -> bytes:
-    """A dictionary that zstandard trains on the samples, the more frequent more often;
-    the samples themselves where they are too few for its trainer."""
-    if not samples:
-        return b""
-    text = [(b"\0" + MARK + word) * 3 + b"\0" for word, _ in samples]
-    # in turns, so that every stretch that the trainer looks at has all the frequent words
-    turns = [t for k in range(REPEATS) for t, (_, n) in zip(text, samples, strict=True) if n > k]
+def trained(texts: list) -> bytes:
+    """A dictionary that zstandard trains on the pieces of whole texts; the texts
+    themselves where they are too few for its trainer."""
+    pieces = []
+    # in an order that has nothing to do with their content: the trainer picks stretch by stretch
+    for text in sorted((marked(t) for t in texts), key=lambda b: (zlib.crc32(b), b)):
+        pieces += [text[i:i + PIECE] for i in range(0, len(text), PIECE) if len(text) - i >= 8]
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, turns, k=PIECE_BYTES, d=CORE_BYTES).as_bytes()
-    except zstandard.ZstdError:
-        return b"".join(reversed(text))[-DICTIONARY_BYTES:]
+        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces, k=PIECE_BYTES, d=CORE_BYTES).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b"".join(pieces)[-DICTIONARY_BYTES:]
+
+
+def dictionaries(train: DataFrame, pairs: int = PAIRS, bag: int = BAG) -> tuple[list, list]:
+    """``train(_id, text, toxic)`` -> (toxic dictionaries, ordinary ones), one of each
+    for a pair; none without texts of both classes.  Each is trained in a task of its
+    own from the whole texts that the hash of their id deals to it."""
+    n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
+    if len(n) < 2:
+        return [], []
+    each = max(1.0, min(bag, min(n.values()) / 2))  # texts, about
+    share = F.when(F.col("toxic") == 1, F.lit(each / n[1])).otherwise(F.lit(each / n[0]))
+    dealt = F.filter(F.sequence(F.lit(0), F.lit(pairs - 1)), lambda k: F.pmod(
+        F.xxhash64(F.col("_id").cast("string"), k), F.lit(1_000_003)) < share * 1_000_003)
+
+    def run(table: pa.Table) -> pa.Table:
+        raw = trained(table.column("text").to_pylist())
+        return pa.table({"toxic": table.column("toxic")[:1], "pair": table.column("pair")[:1],
+                         "raw": pa.array([raw], pa.binary())})
+
+    got = (train.select("toxic", "text", F.explode(dealt).alias("pair")).groupBy("toxic", "pair")
+           .applyInArrow(run, "toxic int, pair int, raw binary").collect())
+    raw = {(r["toxic"], r["pair"]): bytes(r["raw"]) for r in got}
+    return [raw.get((1, k), b"") for k in range(pairs)], [raw.get((0, k), b"") for k in range(pairs)]
 
 
 def marked(text) -> bytes:
     """The words of a text in lower case, each after a mark."""
-    return re.sub(SPLIT.encode(), MARK, b" " + (text or "").lower().encode() + b" ")
+    return MARK.join([b"", *(text or "").lower().encode().translate(WORD_BYTES).split(), b""])
 
 
 def compressor(raw: bytes):
-    """A compressor with the given dictionary content."""
+    """A compressor with the given dictionary: a trained one, or content only."""
     params = zstandard.ZstdCompressionParameters(
-        window_log=15, hash_log=15, chain_log=15, search_log=1, min_match=MIN_MATCH, target_length=1,
+        window_log=15, hash_log=13, chain_log=6, search_log=1, min_match=MIN_MATCH, target_length=1,
         strategy=zstandard.STRATEGY_FAST, write_content_size=0, write_checksum=0, write_dict_id=0,
         format=zstandard.FORMAT_ZSTD1_MAGICLESS)
-    d = zstandard.ZstdCompressionDict(raw.rjust(16, b"\0") + b"\0" * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    if not raw.startswith(DICTIONARY_MAGIC):
+        raw = raw.rjust(16, b"\0") + b"\0" * 8
+    d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_AUTO)
     d.precompute_compress(compression_params=params)
     return zstandard.ZstdCompressor(dict_data=d, compression_params=params)
 
 
-def text_gain(text, toxic, plain, window: int = WINDOW, step: int = STEP, min_gain: int = MIN_GAIN) -> tuple[int, int]:
-    """(bytes that the toxic dictionary saves over the ordinary one, in windows where
-    it saves at least ``min_gain``; number of windows).  The last window ends with
-    the text."""
-    b = marked(text)
+def lengths(packer, text: bytes, spans) -> np.ndarray:
+    """The compressed length of each span (start, size) of a text."""
+    got = packer.multi_compress_to_buffer(zstandard.BufferWithSegments(text, spans.tobytes()), threads=1)
+    return np.fromiter((len(got[i]) for i in range(len(spans))), np.int64, len(spans))
+
+
+def text_gain(text, toxic, plain, window: int = WINDOW, step: int = STEP, floor: int = 0, gates=()) -> tuple[int, int]:
+    """(bytes that the toxic dictionaries save over the ordinary ones, beyond ``floor``
+    for each pair of a window; number of windows).  ``toxic``, ``plain``: a compressor
+    or one for each pair.  Windows that miss a gate of ``gates`` (pairs, bytes of each)
+    gain nothing.  The last window ends with the text."""
+    pairs = list(zip(toxic, plain, strict=True)) if isinstance(toxic, list) else [(toxic, plain)]
+    b, gates = marked(text), dict(gates)
     total, block, n = 0, step * 8192, max(1, len(b) - window + step)  # windows compressed in one call
     for lo in range(0, n, block):
         start = np.arange(lo, min(lo + block, n), step, dtype=np.uint64)
         spans = np.empty((len(start), 2), dtype=np.uint64)
         spans[:, 0] = start
         spans[:, 1] = np.minimum(window, len(b) - start)
-        part = zstandard.BufferWithSegments(b, spans.tobytes())
-        a = toxic.multi_compress_to_buffer(part, threads=1)
-        o = plain.multi_compress_to_buffer(part, threads=1)
-        for i in range(len(start)):
-            gain = len(o[i]) - len(a[i])
-            if gain >= min_gain:
-                total += gain
+        gain = np.zeros(len(start), dtype=np.int64)
+        for k, (a, o) in enumerate(pairs, 1):
+            gain += lengths(o, b, spans) - lengths(a, b, spans)
+            if k in gates:
+                keep = gain >= gates[k] * k
+                spans, gain = np.ascontiguousarray(spans[keep]), gain[keep]
+                if not len(gain):
+                    break
+        total += int(np.maximum(gain - floor * len(pairs), 0).sum())
     return total, -(-n // step)
 
 
-def with_gain(docs: DataFrame, text_col: str, toxic_dict: bytes, plain_dict: bytes, gain: str = "__gain",
+def with_gain(docs: DataFrame, text_col: str, toxic_dicts: list, plain_dicts: list, gain: str = "__gain",
               windows: str = "__windows") -> DataFrame:
     """``docs`` with the gain and the number of windows of every text, computed in
     Arrow tasks."""
     def run(batches):
-        toxic, plain = compressor(toxic_dict), compressor(plain_dict)
+        toxic, plain = [compressor(d) for d in toxic_dicts], [compressor(d) for d in plain_dicts]
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col))
-            got = [text_gain(t.as_py(), toxic, plain) for t in texts]
+            got = [text_gain(t.as_py(), toxic, plain, floor=FLOOR, gates=GATES) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([g for g, _ in got], pa.int64()), pa.array([n for _, n in got], pa.int64())],
                 [*batch.schema.names, gain, windows])
@@ -224,11 +202,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     aside = F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(CALIBRATION)) == 0
     chosen = cut(pick[0].unionByName(pick[1]).withColumn("aside", aside))  # at most 2 * max_train ids
     text = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("text"))
-    train = cut(text.join(F.broadcast(chosen), "_id").select("text", "toxic", "aside"))
-    toxic, plain = contrast_samples(train.filter(~F.col("aside")).select("text", "toxic"))
+    train = cut(text.join(F.broadcast(chosen), "_id").select("_id", "text", "toxic", "aside"))
+    toxic, plain = dictionaries(train.filter(~F.col("aside")))
     n = sum(sizes.values())
     prior = sizes.get(1, 0) / n if n else 0.0
-    model = {"toxic": trained(toxic), "plain": trained(plain), "prior": prior, "mean": 0.0, "variance": 0.0,
+    model = {"toxic": toxic or b"", "plain": plain or b"", "prior": prior, "mean": 0.0, "variance": 0.0,
              "steps": [(float("-inf"), prior)]}
     if not toxic:
         return model
